@@ -116,12 +116,12 @@ class DailyJob:
 
     # -- daily tables, for any set of days ---------------------------------
     def _daily(self, name: str, days: RunDates, build: Callable[[], DataFrame]) -> DataFrame:
+        if self.upstream is not None:
+            # Read at use: the stored table may have been rewritten since.
+            return self.upstream(name).where(days.date_filter("date"))
         key = (name, days.values)
         if key not in self._memo:
-            if self.upstream is not None:
-                self._memo[key] = self.upstream(name).where(days.date_filter("date"))
-            else:
-                self._memo[key] = build()
+            self._memo[key] = build()
         return self._memo[key]
 
     def account_daily(self, days: RunDates) -> DataFrame:

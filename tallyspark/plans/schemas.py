@@ -48,3 +48,17 @@ MONTHLY_TABLES = ("basic_monthly", "basic_monthly_country")
 
 def column_names(table: str) -> list[str]:
     return [part.strip().split(" ")[0] for part in OUTPUT_SCHEMAS[table].split(",")]
+
+# Stored tables beyond the daily outputs.
+OUTPUT_SCHEMAS.update({
+    "crm_ccu": "time timestamp, ccu int, day date",
+})
+
+
+def partition_columns(table: str) -> tuple[str, ...]:
+    """Replace key of each output table (the partition layout)."""
+    if table in RETENTION_TABLES:
+        return ("date", "day")
+    if table == "crm_ccu":
+        return ("day",)
+    return ("date",)

@@ -24,6 +24,7 @@ def build_session(master: str = "local[8]", app_name: str = "tallyspark",
     session and call :func:`configure` on it instead."""
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
     for key, value in {**REQUIRED_CONF, **(extra or {})}.items():
