@@ -19,32 +19,31 @@ def account_daily(log: DataFrame, footprint: DataFrame, staticaccount: DataFrame
     Both dimensions are inner-joined, so an account missing from either is
     dropped and an account with two dimension rows yields two rows. New
     accounts with a ``Transfer`` event that day are removed; returning
-    accounts with a transfer are kept.
+    accounts with a transfer, and rows whose ``isnew`` is NULL, are kept.
 
-    Logins are reduced to one row per (date, account) before the dimension
-    joins: the max of the day is the same for every dimension row, and a
-    single very active account no longer lands whole in one join task.
+    Logins and transfers come from one scan and are reduced to one row per
+    (date, account) before anything else (partial aggregation in every
+    task), so a single very active account never lands whole in one join
+    task, and the transfer test needs no second shuffle.
     """
-    logins = (slice_log(log, dates, "Login")
-              .select("date", "oidaccount",
-                      int2(json_fields("payload", "mysticorblevel")["mysticorblevel"]).alias("lvl"))
-              .groupBy("date", "oidaccount")
-              .agg(F.max("lvl").alias("lvl")))
+    is_login = F.col("command") == "Login"
+    level = int2(json_fields("payload", "mysticorblevel")["mysticorblevel"])
+    per_account = (slice_log(log, dates, ["Login", "Transfer"])
+                   .groupBy("date", "oidaccount")
+                   .agg(F.max(F.when(is_login, level)).alias("lvl"),
+                        F.bool_or(is_login).alias("has_login"),
+                        F.bool_or(F.col("command") == "Transfer").alias("has_transfer"))
+                   .where(F.col("has_login")))
     fp = footprint.select("oidaccount", F.to_date("created").alias("cday"))
     sa = staticaccount.select("oidaccount", "country")
-    joined = logins.join(fp, "oidaccount").join(sa, "oidaccount")
+    joined = per_account.join(fp, "oidaccount").join(sa, "oidaccount")
     daily = (joined.groupBy("date", "oidaccount", "cday", "country")
-             .agg(F.max("lvl").alias("arenalevel"))
-             .select("date", "oidaccount", "arenalevel",
-                     (F.col("cday") == F.col("date")).alias("isnew"), "country"))
-    transfers = (slice_log(log, dates, "Transfer")
-                 .select(F.col("date").alias("t_date"), F.col("oidaccount").alias("t_oid"))
-                 .distinct())
-    # The ON clause holds ``isnew`` itself: rows where it is false or NULL
-    # never match and are kept, as the reference's DELETE keeps them.
-    cond = ((daily["date"] == transfers["t_date"]) & (daily["oidaccount"] == transfers["t_oid"])
-            & daily["isnew"])
-    return daily.join(transfers, cond, "left_anti")
+             .agg(F.max("lvl").alias("arenalevel"), F.bool_or("has_transfer").alias("has_transfer"))
+             .withColumn("isnew", F.col("cday") == F.col("date")))
+    # The reference deletes rows where ``isnew and <transfer>`` is true; a
+    # NULL ``isnew`` is not true, so those rows stay.
+    removed = F.coalesce(F.col("isnew") & F.col("has_transfer"), F.lit(False))
+    return daily.where(~removed).select("date", "oidaccount", "arenalevel", "isnew", "country")
 
 
 def dau(account_daily_df: DataFrame, dates: RunDates) -> DataFrame:

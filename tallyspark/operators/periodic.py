@@ -58,9 +58,22 @@ def period_input_dates(dates: RunDates, period: str, through_last_run_date: bool
     return RunDates(day for day, _ in period_days(dates, period, through_last_run_date))
 
 
+def _tag_with(pdate):
+    # one-argument lambda: transform() passes (element, index) to two-argument ones
+    return lambda x: F.struct(x.alias("day"), F.lit(pdate).alias("pdate"))
+
+
 def _day_map(spark, dates, period, through):
-    # At most 31 rows per touched period: a calendar-sized broadcast.
-    return F.broadcast(spark.createDataFrame(period_days(dates, period, through), "day date, pdate date"))
+    """(day, pdate) rows: at most 31 per touched period, a calendar-sized
+    broadcast generated inside the JVM."""
+    spans = {}
+    for day, p in period_days(dates, period, through):
+        lo, hi = spans.get(p, (day, day))
+        spans[p] = (min(lo, day), max(hi, day))
+    rows = [F.transform(F.sequence(F.lit(lo), F.lit(hi)), _tag_with(p))
+            for p, (lo, hi) in sorted(spans.items())]
+    arr = rows[0] if len(rows) == 1 else F.flatten(F.array(*rows))
+    return F.broadcast(spark.range(1).select(F.explode(arr).alias("m")).select("m.day", "m.pdate"))
 
 
 def _bucketed(df: DataFrame, day_map: DataFrame) -> DataFrame:
@@ -78,8 +91,7 @@ def basic_period(basic_daily_df: DataFrame, account_daily_df: DataFrame, revenue
           .agg(F.countDistinct("oidaccount").alias("au")))
     money = (_bucketed(revenue_df, day_map).groupBy("pdate")
              .agg(F.sum("pu").alias("pu"), F.sum("revenue").alias("revenue")))
-    periods = F.broadcast(spark.createDataFrame(
-        sorted({(p,) for _, p in period_days(dates, period, through_last_run_date)}), "pdate date"))
+    periods = F.broadcast(day_map.select("pdate").distinct())
     out = periods.join(nru, "pdate", "left").join(au, "pdate", "left").join(money, "pdate", "left")
     return out.select(F.col("pdate").alias("date"),
                       F.coalesce("nru", _zero()).alias("nru"), F.coalesce("au", _zero()).alias("au"),

@@ -102,9 +102,14 @@ class RunDates:
         return out
 
     # -- Spark side -------------------------------------------------------
+    def array(self) -> Column:
+        """The dates as one array literal, built from day sequences."""
+        seqs = [F.sequence(F.lit(lo), F.lit(hi)) for lo, hi in self.ranges()]
+        return seqs[0] if len(seqs) == 1 else F.flatten(F.array(*seqs))
+
     def frame(self, spark: SparkSession, name: str = "date") -> DataFrame:
-        """One-column DataFrame of the dates (a local relation)."""
-        return spark.createDataFrame([(d,) for d in self.values], f"{name} date")
+        """One-column DataFrame of the dates, generated inside the JVM."""
+        return spark.range(1).select(F.explode(self.array()).alias(name))
 
     def date_filter(self, col: Column | str) -> Column:
         """Predicate ``col`` is one of the run dates."""
