@@ -71,7 +71,9 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, land: bool = True) -> Input
             if part and part[1]:
                 writer = df.withColumn(part[0], F.to_date(part[1]))
             if part:
-                writer = writer.repartition(part[0])  # one file per day folder
+                # one file per day folder, rows clustered by command so a
+                # roll-up's ``command IN (...)`` skips other row groups
+                writer = writer.repartition(part[0]).sortWithinPartitions("command", "time")
             elif name in SORT_BY:
                 writer = writer.repartitionByRange(SORT_BY[name]).sortWithinPartitions(SORT_BY[name])
             w = writer.write.mode("overwrite")
