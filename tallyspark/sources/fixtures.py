@@ -76,6 +76,14 @@ select concat('r',event_id) as uniqueKey,
 from events
 """
 
+# Heartbeats as a stream of status updates: every event is a heartbeat of
+# server ``user_id % 20`` (same servers as ``server_status``).
+SERVER_HEARTBEATS_SQL = """
+select concat('ServerDesc:',user_id%20) as hashkey, cast(ts as timestamp) as dtmUpdated,
+ cast(regexp_extract(props,'([0-9]+)',1) as int) as numCCU
+from events
+"""
+
 # Views in dependency order (all read only the driver's base tables).
 VIEWS: dict[str, str] = {
     "gamelogs": GAMELOGS_SQL,
@@ -84,6 +92,7 @@ VIEWS: dict[str, str] = {
     "crm_ccu": CRM_CCU_SQL,
     "server_status": SERVER_STATUS_SQL,
     "replay": REPLAY_SQL,
+    "server_heartbeats": SERVER_HEARTBEATS_SQL,
 }
 
 BASE_TABLES = ("events", "customer", "nation")

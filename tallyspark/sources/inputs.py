@@ -29,6 +29,7 @@ class Inputs:
     ccu: DataFrame | None = None
     server_status: DataFrame | None = None
     replay: DataFrame | None = None
+    heartbeats: DataFrame | None = None
 
 
 # Partition layout of the landed fixture tables (the production layout):
@@ -97,6 +98,7 @@ def _as_inputs(frames: dict[str, DataFrame]) -> Inputs:
         ccu=frames["crm_ccu"],
         server_status=frames["server_status"],
         replay=frames["replay"],
+        heartbeats=frames.get("server_heartbeats"),
     )
 
 
