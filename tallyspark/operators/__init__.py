@@ -1,7 +1,7 @@
 """Roll-ups: pure functions of input DataFrames and run dates."""
 
 from tallyspark.operators.accounts import account_daily, dau  # noqa: F401
-from tallyspark.operators.basic import basic_daily, basic_daily_country  # noqa: F401
+from tallyspark.operators.basic import basic_daily, basic_daily_country, new_accounts_per_day  # noqa: F401
 from tallyspark.operators.ccu import ccu  # noqa: F401
 from tallyspark.operators.logs import retained_log  # noqa: F401
 from tallyspark.operators.match_stats import (  # noqa: F401

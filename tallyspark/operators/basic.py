@@ -21,24 +21,17 @@ def basic_daily(footprint: DataFrame, dau_df: DataFrame, revenue_df: DataFrame,
     sums of the DAU table (all levels / level > 0); dpu, revenue: sums of the
     revenue table; mcu: highest CCU in the closed day slice, NULL if none.
 
-    Every side is first reduced to at most one row per day, so the joins onto
-    the run-date list only ever see calendar-sized tables.
+    Every side is first reduced to at most one row per day; the sides and
+    the run-date list are then stacked and grouped by day (one shuffle of
+    calendar-sized data, instead of one join per side).
     """
     spark = footprint.sparkSession
     days = dates.frame(spark)
-
-    # Accounts per creation day over all history, then a running total over
-    # days. The window has no partition key but sees one row per day.
-    # nru counts the account id (count(oidaccount)), ru every row (count(*)).
-    per_day = (footprint.where(F.col("created").isNotNull())
-               .groupBy(F.to_date("created").alias("date"))
-               .agg(F.count(F.lit(1)).alias("n"), F.count("oidaccount").alias("n_new"))
-               .where(F.col("date") <= F.lit(dates.last)))
-    cal = (per_day.unionByName(days.withColumn("n", _zero()).withColumn("n_new", _zero()))
-           .groupBy("date").agg(F.sum("n").alias("n"), F.sum("n_new").alias("n_new")))
-    running = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    accounts = cal.select("date", F.sum("n").over(running).alias("ru"), F.col("n_new").alias("nru"))
-
+    # ru counts every row (count(*)), nru the account id (count(oidaccount)).
+    accounts = (footprint.where(F.col("created").isNotNull())
+                .groupBy(F.to_date("created").alias("date"))
+                .agg(F.count(F.lit(1)).alias("n"), F.count("oidaccount").alias("nru"))
+                .where(F.col("date") <= F.lit(dates.last)))
     levels = (dau_df.where(dates.date_filter("date")).groupBy("date")
               .agg(F.sum("dau").alias("dau"),
                    F.sum(F.when(F.col("arenalevel") > 0, F.col("dau"))).alias("dau_p")))
@@ -48,18 +41,31 @@ def basic_daily(footprint: DataFrame, dau_df: DataFrame, revenue_df: DataFrame,
             .select(F.explode(event_run_dates("time")).alias("date"), "ccu")
             .where(dates.date_filter("date"))
             .groupBy("date").agg(F.max("ccu").alias("mcu")))
-
-    out = days
+    stacked = days.withColumn("run", F.lit(True))
     for side in (accounts, levels, money, peak):
-        out = out.join(F.broadcast(side), "date", "left")
+        stacked = stacked.unionByName(side, allowMissingColumns=True)
+    per_day = stacked.groupBy("date").agg(
+        F.bool_or("run").alias("run"), F.sum("n").alias("n"), F.max("nru").alias("nru"),
+        F.max("dau").alias("dau"), F.max("dau_p").alias("dau_p"), F.max("dpu").alias("dpu"),
+        F.max("revenue").alias("revenue"), F.max("mcu").alias("mcu"))
+    # Running total over one row per calendar day (no partition key needed).
+    running = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = per_day.withColumn("ru", F.sum(F.coalesce("n", _zero())).over(running)).where(F.col("run"))
     return out.select(
-        "date",
-        F.coalesce("ru", _zero()).alias("ru"), F.coalesce("nru", _zero()).alias("nru"),
-        F.coalesce("dau", _zero()).alias("dau"), F.coalesce("dau_p", _zero()).alias("dau_p"),
-        F.coalesce("dpu", _zero()).alias("dpu"), F.coalesce("revenue", _zero()).alias("revenue"),
+        "date", F.col("ru").cast("bigint").alias("ru"),
+        *[F.coalesce(c, _zero()).alias(c) for c in ("nru", "dau", "dau_p", "dpu", "revenue")],
         "mcu")
 
 
+def new_accounts_per_day(footprint: DataFrame, dates: RunDates) -> DataFrame:
+    """(date, nru) for the run dates: accounts created within the day,
+    half-open, as basic-daily counts them."""
+    return (footprint.where(dates.time_filter("created") & (F.to_date("created") <= F.lit(dates.last)))
+            .groupBy(F.to_date("created").alias("date"))
+            .agg(F.count("oidaccount").alias("nru"))
+            .where(dates.date_filter("date")))
+
+
 def basic_daily_country(account_daily_df: DataFrame, footprint: DataFrame, staticaccount: DataFrame,
                         revenue_df: DataFrame, dates: RunDates) -> DataFrame:
     """Per (date, country): nru, dau, dau_p, dpu, revenue.

@@ -83,7 +83,8 @@ def _bucketed(df: DataFrame, day_map: DataFrame) -> DataFrame:
 def basic_period(basic_daily_df: DataFrame, account_daily_df: DataFrame, revenue_df: DataFrame,
                  dates: RunDates, period: str, through_last_run_date: bool = True) -> DataFrame:
     """One row per touched period: nru (sum of daily nru), au (distinct
-    accounts), pu (sum of daily payer counts, not distinct payers), revenue."""
+    accounts), pu (sum of daily payer counts, not distinct payers), revenue.
+    ``basic_daily_df`` needs only (date, nru)."""
     spark = basic_daily_df.sparkSession
     day_map = _day_map(spark, dates, period, through_last_run_date)
     nru = _bucketed(basic_daily_df, day_map).groupBy("pdate").agg(F.sum("nru").alias("nru"))
@@ -91,11 +92,14 @@ def basic_period(basic_daily_df: DataFrame, account_daily_df: DataFrame, revenue
           .agg(F.countDistinct("oidaccount").alias("au")))
     money = (_bucketed(revenue_df, day_map).groupBy("pdate")
              .agg(F.sum("pu").alias("pu"), F.sum("revenue").alias("revenue")))
-    periods = F.broadcast(day_map.select("pdate").distinct())
-    out = periods.join(nru, "pdate", "left").join(au, "pdate", "left").join(money, "pdate", "left")
+    # Always one row per touched period: stack the period list with the
+    # per-period sides (each at most one row per period) and group once.
+    stacked = day_map.select("pdate").distinct()
+    for side in (nru, au, money):
+        stacked = stacked.unionByName(side, allowMissingColumns=True)
+    out = stacked.groupBy("pdate").agg(*[F.max(c).alias(c) for c in ("nru", "au", "pu", "revenue")])
     return out.select(F.col("pdate").alias("date"),
-                      F.coalesce("nru", _zero()).alias("nru"), F.coalesce("au", _zero()).alias("au"),
-                      F.coalesce("pu", _zero()).alias("pu"), F.coalesce("revenue", _zero()).alias("revenue"))
+                      *[F.coalesce(c, _zero()).alias(c) for c in ("nru", "au", "pu", "revenue")])
 
 
 def basic_period_country(basic_daily_country_df: DataFrame, account_daily_df: DataFrame,

@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyspark import operators as ops
 from tallyspark.operators.periodic import period_input_dates
@@ -140,9 +141,20 @@ class DailyJob:
         return self._daily("dau", days, lambda: ops.dau(self.account_daily(days), days))
 
     def basic_daily(self, days: RunDates) -> DataFrame:
+        # From the log, the DAU table's per-level counts summed per day are
+        # just the account-daily rows of the day: count those directly.
         i = self.inputs
         return self._daily("basic_daily", days, lambda: ops.basic_daily(
-            i.footprint, self.dau(days), self.revenue_daily(days), i.ccu, days))
+            i.footprint, self.account_daily(days).select("date", "arenalevel", F.lit(1).alias("dau")),
+            self.revenue_daily(days), i.ccu, days))
+
+    def new_accounts_daily(self, days: RunDates) -> DataFrame:
+        """(date, nru) of the basic-daily table. From the log it is one
+        count per creation day over the footprint (the half-open day slice
+        of basic-daily's nru), without the rest of basic-daily."""
+        if self.upstream is not None:
+            return self.upstream("basic_daily").where(days.date_filter("date")).select("date", "nru")
+        return ops.new_accounts_per_day(self.inputs.footprint, days)
 
     def basic_daily_country(self, days: RunDates) -> DataFrame:
         i = self.inputs
@@ -169,7 +181,7 @@ class DailyJob:
                 df = ops.basic_period_country(self.basic_daily_country(days), self.account_daily(days),
                                               self.revenue_daily(days), d, period, through)
             else:
-                df = ops.basic_period(self.basic_daily(days), self.account_daily(days),
+                df = ops.basic_period(self.new_accounts_daily(days), self.account_daily(days),
                                       self.revenue_daily(days), d, period, through)
         elif table in RETENTION_VARIANTS:
             cohort, by = RETENTION_VARIANTS[table]
