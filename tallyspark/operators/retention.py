@@ -6,13 +6,13 @@ a row on ``D``. ``cnt_o`` counts rows after the left join (so duplicate rows on
 ``D`` count twice, as in the reference), ``cnt`` the matched ones.
 
 Set-based: each cohort row is expanded to the run dates it serves
-(``day`` = offset) and joined once on (account, target date); every
-(cohort date, day) cell comes from exactly one run date.
+(``day`` = offset); every (cohort date, day) cell comes from exactly one
+run date.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.rundates import RunDates
@@ -41,25 +41,40 @@ def cohort_dates(dates: RunDates) -> RunDates:
 
 def retention(account_daily_df: DataFrame, dates: RunDates, cohort: str = "all",
               by: str | None = "arenalevel") -> DataFrame:
-    """Retention table: (date, day[, by], cnt_o, cnt, rate)."""
+    """Retention table: (date, day[, by], cnt_o, cnt, rate).
+
+    One pass over the account-daily rows: each row emits one entry per run
+    date it is a cohort row for (``target = date + day``) and, when its own
+    date is a run date, one "returning" entry. A window over (account,
+    target) counts the returning rows ``r``; a cohort row then stands for
+    ``max(r, 1)`` rows of the reference's left join (``cnt_o``) of which
+    ``r`` matched (``cnt``). The account-daily rows are read once and the only
+    shuffles are by (account, target) -- a handful of rows per key -- and the
+    final grouping.
+    """
     keys = [by] if by else []
+    cohort_days = dates.shifted([-k for k in OFFSETS])
     src = account_daily_df.where(cohort_dates(dates).date_filter("date"))
-    cohort_rows = src.where(dates.shifted([-k for k in OFFSETS]).date_filter("date"))
     flt = _cohort_filter(cohort)
-    if flt is not None:
-        cohort_rows = cohort_rows.where(flt)
-    expanded = (cohort_rows
-                .select("oidaccount", "date", *keys,
-                        F.explode(F.array(*[F.lit(k) for k in OFFSETS])).alias("day"))
-                .withColumn("target", F.date_add("date", F.col("day")))
-                .where(dates.date_filter("target")))
-    returning = src.where(dates.date_filter("date")).select(
-        F.col("oidaccount").alias("r_oid"), F.col("date").alias("r_date"))
-    joined = expanded.join(
-        returning,
-        (expanded["oidaccount"] == returning["r_oid"]) & (expanded["target"] == returning["r_date"]),
-        "left")
-    return (joined.groupBy("date", "day", *keys)
-            .agg(F.count(F.lit(1)).alias("cnt_o"), F.count("r_oid").alias("cnt"))
+    as_cohort = cohort_days.date_filter("date") if flt is None else (cohort_days.date_filter("date") & flt)
+    cohort_entries = F.filter(
+        F.array(*[F.struct(F.date_add("date", k).alias("target"), F.lit(k).alias("day"))
+                  for k in OFFSETS]),
+        lambda e: dates.date_filter(e["target"]))
+    returning_entry = F.array(F.struct(F.col("date").alias("target"), F.lit(0).alias("day")))
+    entries = F.concat(
+        F.when(F.coalesce(as_cohort, F.lit(False)), cohort_entries).otherwise(F.array().cast(cohort_entries_type())),
+        F.when(dates.date_filter("date"), returning_entry).otherwise(F.array().cast(cohort_entries_type())))
+    exploded = (src.select("oidaccount", "date", *keys, F.explode(entries).alias("e"))
+                .select("oidaccount", "date", *keys, "e.target", "e.day"))
+    per_key = Window.partitionBy("oidaccount", "target")
+    marked = exploded.withColumn("r", F.sum(F.when(F.col("day") == 0, 1).otherwise(0)).over(per_key))
+    return (marked.where(F.col("day") > 0)
+            .groupBy("date", "day", *keys)
+            .agg(F.sum(F.greatest(F.col("r"), F.lit(1))).alias("cnt_o"), F.sum("r").alias("cnt"))
             .select("date", "day", *keys, "cnt_o", "cnt",
                     (F.col("cnt").cast("double") / F.col("cnt_o")).alias("rate")))
+
+
+def cohort_entries_type() -> str:
+    return "array<struct<target:date,day:int>>"
