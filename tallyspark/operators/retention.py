@@ -48,9 +48,7 @@ def retention(account_daily_df: DataFrame, dates: RunDates, cohort: str = "all",
     date is a run date, one "returning" entry. A window over (account,
     target) counts the returning rows ``r``; a cohort row then stands for
     ``max(r, 1)`` rows of the reference's left join (``cnt_o``) of which
-    ``r`` matched (``cnt``). The account-daily rows are read once and the only
-    shuffles are by (account, target) -- a handful of rows per key -- and the
-    final grouping.
+    ``r`` matched (``cnt``). The account-daily rows are read once; no join.
     """
     keys = [by] if by else []
     cohort_days = dates.shifted([-k for k in OFFSETS])
@@ -65,13 +63,18 @@ def retention(account_daily_df: DataFrame, dates: RunDates, cohort: str = "all",
     entries = F.concat(
         F.when(F.coalesce(as_cohort, F.lit(False)), cohort_entries).otherwise(F.array().cast(cohort_entries_type())),
         F.when(dates.date_filter("date"), returning_entry).otherwise(F.array().cast(cohort_entries_type())))
-    exploded = (src.select("oidaccount", "date", *keys, F.explode(entries).alias("e"))
-                .select("oidaccount", "date", *keys, "e.target", "e.day"))
+    # Identical entries (duplicate account-daily rows) collapse to a count
+    # ``m`` map-side first, so the window sees a few rows per key even when
+    # one account has very many copies.
+    counted = (src.select("oidaccount", "date", *keys, F.explode(entries).alias("e"))
+               .groupBy("oidaccount", F.col("e.target").alias("target"), "date", F.col("e.day").alias("day"), *keys)
+               .agg(F.count(F.lit(1)).alias("m")))
     per_key = Window.partitionBy("oidaccount", "target")
-    marked = exploded.withColumn("r", F.sum(F.when(F.col("day") == 0, 1).otherwise(0)).over(per_key))
+    marked = counted.withColumn("r", F.sum(F.when(F.col("day") == 0, F.col("m")).otherwise(0)).over(per_key))
     return (marked.where(F.col("day") > 0)
             .groupBy("date", "day", *keys)
-            .agg(F.sum(F.greatest(F.col("r"), F.lit(1))).alias("cnt_o"), F.sum("r").alias("cnt"))
+            .agg(F.sum(F.col("m") * F.greatest(F.col("r"), F.lit(1))).alias("cnt_o"),
+                 F.sum(F.col("m") * F.col("r")).alias("cnt"))
             .select("date", "day", *keys, "cnt_o", "cnt",
                     (F.col("cnt").cast("double") / F.col("cnt_o")).alias("rate")))
 

@@ -230,3 +230,14 @@ def test_cardweight_stats_median_interpolates(spark):
     r = ops.cardweight_stats_daily(inp.gamelogs, ONE).collect()[0]
     assert (r["cnt"], r["avg"], r["median"], r["min"], r["max"]) == (4, 32.5, 25.0, 10, 70)
     assert abs(r["stddev"] - 22.776083947860748) < 1e-9
+
+
+def test_t15_retention_counts_duplicate_copies_like_the_join(spark):
+    # 3 dimension rows -> 3 account-daily rows on both days; each cohort row
+    # matches 3 returning rows in the reference's left join.
+    inp = make_inputs(spark, logs=[login(1, "2024-01-15 10:00:00", 2), login(1, "2024-01-16 10:00:00", 2)],
+                      footprint=[(1, "2024-01-15 00:00:00")], static=[(1, "KR"), (1, "US"), (1, "JP")])
+    job = DailyJob(inp, ONE)
+    assert rows(job.output("retention"), "day", "arenalevel", "cnt_o", "cnt") == [(1, 2, 9, 9)]
+    assert rows(job.output("retention_country"), "country", "cnt_o", "cnt") == [("JP", 3, 3), ("KR", 3, 3),
+                                                                                ("US", 3, 3)]
