@@ -51,6 +51,7 @@ class RunDates:
         if len(values) > MAX_RUN_DATES:
             raise ValueError(f"{len(values)} run dates exceed the cap of {MAX_RUN_DATES}")
         self.values = values
+        self._preds: dict[tuple[str, str], Column] = {}
 
     # -- construction -----------------------------------------------------
     @classmethod
@@ -75,10 +76,10 @@ class RunDates:
     # -- derived sets -----------------------------------------------------
     def shifted(self, offsets: Iterable[int]) -> "RunDates":
         """Dates ``d + k`` for every run date ``d`` and offset ``k``."""
-        return RunDates(d + dt.timedelta(days=k) for d in self.values for k in offsets)
+        return _interned(RunDates(d + dt.timedelta(days=k) for d in self.values for k in offsets))
 
     def union(self, other: "RunDates") -> "RunDates":
-        return RunDates(self.values + other.values)
+        return _interned(RunDates(self.values + other.values))
 
     @property
     def first(self) -> dt.date:
@@ -113,14 +114,22 @@ class RunDates:
 
     def date_filter(self, col: Column | str) -> Column:
         """Predicate ``col`` is one of the run dates."""
-        col = F.col(col) if isinstance(col, str) else col
+        if isinstance(col, str):  # built once per column name (plans reuse them a lot)
+            key = ("date", col)
+            if key not in self._preds:
+                self._preds[key] = self.date_filter(F.col(col))
+            return self._preds[key]
         preds = [col.between(F.lit(lo), F.lit(hi)) for lo, hi in self.ranges()]
         return _any(preds)
 
     def time_filter(self, col: Column | str) -> Column:
         """Closed ``time between d and d+1`` for every run date, merged into
         one range per stretch of consecutive days. Pushed to the Parquet scan."""
-        col = F.col(col) if isinstance(col, str) else col
+        if isinstance(col, str):
+            key = ("time", col)
+            if key not in self._preds:
+                self._preds[key] = self.time_filter(F.col(col))
+            return self._preds[key]
         preds = []
         for lo, hi in self.ranges():
             preds.append(col.between(ts_lit(lo), ts_lit(hi + ONE_DAY)))
@@ -144,6 +153,16 @@ class RunDates:
         return f"RunDates({self.first}..{self.last}, n={len(self.values)})"
 
 
+_INTERNED: dict[tuple, "RunDates"] = {}
+
+
+def _interned(rd: "RunDates") -> "RunDates":
+    """Share one object (and its cached predicates) per distinct date set."""
+    if len(_INTERNED) > 4096:
+        _INTERNED.clear()
+    return _INTERNED.setdefault(rd.values, rd)
+
+
 def ts_lit(value) -> Column:
     """Timestamp literal read in the session time zone (UTC), never in the
     Python process's local zone."""

@@ -23,12 +23,13 @@ def slice_log(log: DataFrame, dates: RunDates, commands: Iterable[str] | str,
     comes out twice, once per date.
     """
     commands = [commands] if isinstance(commands, str) else list(commands)
+    columns = log.columns
     cond = dates.time_filter("time") & F.col("command").isin(commands)
-    if "event_date" in log.columns:
+    if "event_date" in columns:
         cond = dates.partition_filter("event_date") & cond
     if oid_positive:
         cond = cond & (F.col("oidaccount") > 0)
     sliced = log.where(cond)
     return (sliced
-            .select(F.explode(event_run_dates("time")).alias("date"), *[c for c in log.columns if c != "event_date"])
+            .select(F.explode(event_run_dates("time")).alias("date"), *[c for c in columns if c != "event_date"])
             .where(dates.date_filter("date")))
