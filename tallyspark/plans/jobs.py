@@ -55,8 +55,11 @@ def daily_crm(inputs: Inputs, store: TableStore, dates: RunDates | None = None,
     job = DailyJob(inputs, dates, upstream=store.read)
     written = {}
     for table in output_tables(commands):
-        written[table] = store.replace(table, job.output(table), partition_columns(table),
-                                       replace_keys(table, dates))
+        df = job.output(table)
+        if table in RETENTION_TABLES:  # cells (cohort date, day) inside date partitions
+            written[table] = store.replace_cells(table, df, "date", "day", replace_keys(table, dates))
+        else:
+            written[table] = store.replace(table, df, partition_columns(table), replace_keys(table, dates))
     return written
 
 

@@ -57,8 +57,6 @@ OUTPUT_SCHEMAS.update({
 
 def partition_columns(table: str) -> tuple[str, ...]:
     """Replace key of each output table (the partition layout)."""
-    if table in RETENTION_TABLES:
-        return ("date", "day")
     if table == "crm_ccu":
         return ("day",)
     return ("date",)
