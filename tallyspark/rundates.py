@@ -64,11 +64,15 @@ class RunDates:
         return cls([now.date() - ONE_DAY])
 
     @classmethod
-    def spanning(cls, df: DataFrame, ts_col: str = "time") -> "RunDates":
+    def spanning(cls, df: DataFrame, ts_col: str = "time", partition_col: str = "event_date") -> "RunDates":
         """Every calendar day from the first to the last timestamp of ``df``.
 
-        Runs one global min/max aggregate (two scalars reach the driver)."""
-        row = df.agg(F.min(F.to_date(ts_col)).alias("lo"), F.max(F.to_date(ts_col)).alias("hi")).first()
+        Runs one global min/max aggregate (two scalars reach the driver). On a
+        log partitioned by ``event_date`` (the day of ``time``) it reads only
+        the partition column: partition values and file footers, no column
+        data."""
+        day = F.col(partition_col) if partition_col in df.columns else F.to_date(ts_col)
+        row = df.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
         if row is None or row["lo"] is None:
             raise ValueError("cannot derive run dates from an empty table")
         return cls.between(row["lo"], row["hi"])
