@@ -5,7 +5,7 @@ from tallyspark.operators.basic import basic_daily, basic_daily_country, new_acc
 from tallyspark.operators.ccu import ccu  # noqa: F401
 from tallyspark.operators.logs import retained_log  # noqa: F401
 from tallyspark.operators.match_stats import (  # noqa: F401
-    cardweight_distribution_daily, cardweight_stats_daily, cardweight_winningrate_daily,
+    arena_matches, cardweight_distribution_daily, cardweight_stats_daily, cardweight_winningrate_daily,
     cube_make_stats_daily, hardmatch_stats_daily, jewel_stats_daily, match_elo_stats_daily,
     match_eloband_stats_daily, monster_stats_daily, playturn_stats_daily,
 )

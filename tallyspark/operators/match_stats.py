@@ -38,14 +38,38 @@ def _cnt() -> Column:
     return F.count(F.lit(1)).alias("cnt")
 
 
-def match_elo_stats_daily(log: DataFrame, dates: RunDates) -> DataFrame:
+def arena_matches(log: DataFrame, dates: RunDates) -> DataFrame:
+    """Typed ``ArenaEnd`` rows, parsed once: the shared input of six
+    roll-ups (R19, R21, R24-R26, R28). Flags stay as text (their three
+    readings differ per roll-up); numbers are cast, bad values NULL."""
+    keys = ["isaiarena", "iswin", "matchtype", "matchedtier", "turncount", "totalplaytime", "myinfo", "opinfo"]
+    ev = slice_log(log, dates, "ArenaEnd").select("date", "oidaccount", json_fields("payload", *keys).alias("p"))
+    my = nested_fields(F.col("p.myinfo"), "arenalevel", "cardweight", "arenapoint")
+    op = nested_fields(F.col("p.opinfo"), "cardweight", "arenapoint")
+    return (ev.select("date", "oidaccount", "p", my.alias("my"), op.alias("op"))
+            .select("date", "oidaccount",
+                    F.col("p.isaiarena").alias("isaiarena"), F.col("p.iswin").alias("iswin"),
+                    F.col("p.matchtype").alias("matchtype"),
+                    int2(F.col("p.matchedtier")).alias("matchedtier"),
+                    int2(F.col("p.turncount")).alias("turncount"),
+                    int4(F.col("p.totalplaytime")).alias("totalplaytime"),
+                    int2(F.col("my.arenalevel")).alias("my_arenalevel"),
+                    int2(F.col("my.cardweight")).alias("my_cardweight"),
+                    int2(F.col("my.arenapoint")).alias("my_arenapoint"),
+                    int2(F.col("op.cardweight")).alias("op_cardweight"),
+                    int2(F.col("op.arenapoint")).alias("op_arenapoint")))
+
+
+def _arena(log: DataFrame, dates: RunDates, matches: DataFrame | None) -> DataFrame:
+    return matches if matches is not None else arena_matches(log, dates)
+
+
+def match_elo_stats_daily(log: DataFrame, dates: RunDates, matches: DataFrame | None = None) -> DataFrame:
     """Ranked (ELO) match results by (AI arena, my arena level)."""
-    ev = _events(log, dates, "ArenaEnd", ["isaiarena", "iswin", "matchtype", "myinfo"], True)
-    ev = ev.where(F.col("p.matchtype") == "ELO")
-    return (ev.groupBy("date",
-                       _is_true(F.col("p.isaiarena")).alias("isai"),
-                       int2(nested_fields(F.col("p.myinfo"), "arenalevel")["arenalevel"]).alias("arenalevel"))
-            .agg(_cnt(), _wins(F.col("p"))))
+    m = _arena(log, dates, matches).where((F.col("oidaccount") > 0) & (F.col("matchtype") == "ELO"))
+    return (m.groupBy("date", _is_true(F.col("isaiarena")).alias("isai"),
+                      F.col("my_arenalevel").alias("arenalevel"))
+            .agg(_cnt(), F.count(F.when(_is_true(F.col("iswin")), F.lit(1))).alias("cnt_win")))
 
 
 def monster_stats_daily(log: DataFrame, dates: RunDates) -> DataFrame:
@@ -63,21 +87,15 @@ def monster_stats_daily(log: DataFrame, dates: RunDates) -> DataFrame:
             .agg(_cnt(), _wins(F.col("p"))))
 
 
-def playturn_stats_daily(log: DataFrame, dates: RunDates) -> DataFrame:
+def playturn_stats_daily(log: DataFrame, dates: RunDates, matches: DataFrame | None = None) -> DataFrame:
     """Turn count and play time of matches longer than 60 s."""
-    ev = _events(log, dates, "ArenaEnd", ["myinfo", "isaiarena", "matchtype", "turncount", "totalplaytime"], True)
-    ev = (ev.select("date", "p",
-                    int2(F.col("p.turncount")).alias("turn"),
-                    int4(F.col("p.totalplaytime")).alias("playtime"))
-          .where(F.col("playtime") > 60))
-    return (ev.groupBy("date",
-                       int2(nested_fields(F.col("p.myinfo"), "arenalevel")["arenalevel"]).alias("arenalevel"),
-                       _is_true(F.col("p.isaiarena")).alias("isai"),
-                       F.col("p.matchtype").alias("matchtype"))
+    m = _arena(log, dates, matches).where((F.col("oidaccount") > 0) & (F.col("totalplaytime") > 60))
+    return (m.groupBy("date", F.col("my_arenalevel").alias("arenalevel"),
+                      _is_true(F.col("isaiarena")).alias("isai"), "matchtype")
             .agg(_cnt(),
-                 F.sum("turn").alias("sum_turn"), F.sum("playtime").alias("sum_playtime"),
-                 F.max("turn").alias("max_turn"), F.max("playtime").alias("max_playtime"),
-                 F.min("turn").alias("min_turn"), F.min("playtime").alias("min_playtime")))
+                 F.sum("turncount").alias("sum_turn"), F.sum("totalplaytime").alias("sum_playtime"),
+                 F.max("turncount").alias("max_turn"), F.max("totalplaytime").alias("max_playtime"),
+                 F.min("turncount").alias("min_turn"), F.min("totalplaytime").alias("min_playtime")))
 
 
 def cube_make_stats_daily(log: DataFrame, dates: RunDates) -> DataFrame:
@@ -94,41 +112,35 @@ def jewel_stats_daily(log: DataFrame, dates: RunDates) -> DataFrame:
             .agg(_cnt(), F.sum(int4(F.col("p.delta"))).alias("amount")))
 
 
-def _cardweight_matches(log: DataFrame, dates: RunDates) -> DataFrame:
+def _cardweight_matches(log: DataFrame, dates: RunDates, matches: DataFrame | None) -> DataFrame:
     """Ranked matches against people (``isaiarena`` exactly 'false'), all
-    accounts including id 0, with card weights of both sides."""
-    ev = _events(log, dates, "ArenaEnd", ["matchtype", "isaiarena", "iswin", "matchedtier", "myinfo", "opinfo"],
-                 False)
-    ev = ev.where((F.col("p.matchtype") == "ELO") & (F.col("p.isaiarena") == "false"))
-    return ev.select("date",
-                     F.col("p.iswin").alias("iswin"),
-                     int2(F.col("p.matchedtier")).alias("arenalevel"),
-                     int2(nested_fields(F.col("p.myinfo"), "cardweight")["cardweight"]).alias("cw_my"),
-                     int2(nested_fields(F.col("p.opinfo"), "cardweight")["cardweight"]).alias("cw_op"))
-
-
-def cardweight_winningrate_daily(log: DataFrame, dates: RunDates) -> DataFrame:
+    accounts including id 0."""
+    return _arena(log, dates, matches).where((F.col("matchtype") == "ELO") & (F.col("isaiarena") == "false"))
+
+
+def cardweight_winningrate_daily(log: DataFrame, dates: RunDates, matches: DataFrame | None = None) -> DataFrame:
     """Wins by card-weight difference (mine minus opponent's)."""
-    m = _cardweight_matches(log, dates)
-    return (m.groupBy("date", (F.col("cw_my").cast("int") - F.col("cw_op").cast("int")).alias("diff"))
+    m = _cardweight_matches(log, dates, matches)
+    return (m.groupBy("date", (F.col("my_cardweight").cast("int") - F.col("op_cardweight").cast("int")).alias("diff"))
             .agg(_cnt(), F.count(F.when(_is_true(F.col("iswin")), F.lit(1))).alias("cnt_win")))
 
 
-def cardweight_distribution_daily(log: DataFrame, dates: RunDates) -> DataFrame:
+def cardweight_distribution_daily(log: DataFrame, dates: RunDates, matches: DataFrame | None = None) -> DataFrame:
     """Matches per (matched tier, my card weight)."""
-    m = _cardweight_matches(log, dates)
-    return m.groupBy("date", "arenalevel", F.col("cw_my").alias("cardweight")).agg(_cnt())
+    m = _cardweight_matches(log, dates, matches)
+    return (m.groupBy("date", F.col("matchedtier").alias("arenalevel"), F.col("my_cardweight").alias("cardweight"))
+            .agg(_cnt()))
 
 
-def cardweight_stats_daily(log: DataFrame, dates: RunDates) -> DataFrame:
+def cardweight_stats_daily(log: DataFrame, dates: RunDates, matches: DataFrame | None = None) -> DataFrame:
     """Card-weight moments per matched tier. The median is exact and
     interpolating; its buffer holds one counter per distinct weight (a
     smallint), so a huge tier does not grow it."""
-    m = _cardweight_matches(log, dates)
-    w = F.col("cw_my").cast("double")
-    return (m.groupBy("date", "arenalevel")
+    m = _cardweight_matches(log, dates, matches)
+    w = F.col("my_cardweight").cast("double")
+    return (m.groupBy("date", F.col("matchedtier").alias("arenalevel"))
             .agg(_cnt(), F.avg(w).alias("avg"), F.median(w).alias("median"), F.stddev_pop(w).alias("stddev"),
-                 F.min("cw_my").alias("min"), F.max("cw_my").alias("max")))
+                 F.min("my_cardweight").alias("min"), F.max("my_cardweight").alias("max")))
 
 
 def hardmatch_stats_daily(log: DataFrame, dates: RunDates) -> DataFrame:
@@ -140,11 +152,15 @@ def hardmatch_stats_daily(log: DataFrame, dates: RunDates) -> DataFrame:
                  F.sum(int2(F.col("p.hitbonuscount"))).alias("total_bonus")))
 
 
-def match_eloband_stats_daily(log: DataFrame, dates: RunDates) -> DataFrame:
+def match_eloband_stats_daily(log: DataFrame, dates: RunDates, matches: DataFrame | None = None) -> DataFrame:
     """Matches (any type) by rating band of both sides."""
-    ev = _events(log, dates, "ArenaEnd", ["isaiarena", "myinfo", "opinfo"], True)
-    my = int2(nested_fields(F.col("p.myinfo"), "arenapoint")["arenapoint"])
-    op = int2(nested_fields(F.col("p.opinfo"), "arenapoint")["arenapoint"])
-    return (ev.groupBy("date", _is_true(F.col("p.isaiarena")).alias("isai"),
-                       elo_band(my).alias("eloband_my"), elo_band(op).alias("eloband_op"))
+    m = _arena(log, dates, matches).where(F.col("oidaccount") > 0)
+    return (m.groupBy("date", _is_true(F.col("isaiarena")).alias("isai"),
+                      elo_band(F.col("my_arenapoint")).alias("eloband_my"),
+                      elo_band(F.col("op_arenapoint")).alias("eloband_op"))
             .agg(_cnt()))
+
+
+# Roll-ups that read the shared ArenaEnd intermediate.
+ARENA_ROLLUPS = ("match_elo_stats_daily", "playturn_stats_daily", "cardweight_winningrate_daily",
+                 "cardweight_distribution_daily", "cardweight_stats_daily", "match_eloband_stats_daily")

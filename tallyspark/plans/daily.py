@@ -16,7 +16,10 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.storagelevel import StorageLevel
+
 from tallyspark import operators as ops
+from tallyspark.operators.match_stats import ARENA_ROLLUPS
 from tallyspark.operators.periodic import period_input_dates
 from tallyspark.operators.retention import cohort_dates
 from tallyspark.plans.schemas import OUTPUT_SCHEMAS
@@ -109,11 +112,13 @@ class DailyJob:
     """Lazily built outputs of one daily run over ``dates``."""
 
     def __init__(self, inputs: Inputs, dates: RunDates,
-                 upstream: Callable[[str], DataFrame] | None = None):
+                 upstream: Callable[[str], DataFrame] | None = None, persist_shared: bool = False):
         self.inputs = inputs
         self.dates = dates
         self.upstream = upstream
+        self.persist_shared = persist_shared
         self._memo: dict[tuple[str, tuple], DataFrame] = {}
+        self._shared: dict[str, DataFrame] = {}
 
     # -- daily tables, for any set of days ---------------------------------
     def _daily(self, name: str, days: RunDates, build: Callable[[], DataFrame]) -> DataFrame:
@@ -161,6 +166,24 @@ class DailyJob:
         return self._daily("basic_daily_country", days, lambda: ops.basic_daily_country(
             self.account_daily(days), i.footprint, i.staticaccount, self.revenue_daily(days), days))
 
+    def arena_matches(self) -> DataFrame:
+        """Typed ArenaEnd rows of the run dates, parsed once for the six
+        roll-ups that read them; kept in memory/disk while a scheduled run
+        writes those tables (``persist_shared``)."""
+        if "arena" not in self._shared:
+            df = ops.arena_matches(self.inputs.gamelogs, self.dates)
+            if self.persist_shared:
+                df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            self._shared["arena"] = df
+        return self._shared["arena"]
+
+    def release(self) -> None:
+        """Drop persisted shared intermediates."""
+        for df in self._shared.values():
+            if self.persist_shared:
+                df.unpersist()
+        self._shared.clear()
+
     # -- outputs -------------------------------------------------------------
     def output(self, table: str) -> DataFrame:
         d, i = self.dates, self.inputs
@@ -172,6 +195,8 @@ class DailyJob:
                 df = self._compute_now(table)
         elif table == "shop_product_daily_country":
             df = ops.shop_product_daily_country(i.gamelogs, i.staticaccount, d)
+        elif table in ARENA_ROLLUPS:
+            df = LOG_ROLLUPS[table](i.gamelogs, d, self.arena_matches())
         elif table in LOG_ROLLUPS:
             df = LOG_ROLLUPS[table](i.gamelogs, d)
         elif table in ("basic_weekly", "basic_monthly", "basic_weekly_country", "basic_monthly_country"):

@@ -52,14 +52,17 @@ def daily_crm(inputs: Inputs, store: TableStore, dates: RunDates | None = None,
     dates = dates or RunDates.yesterday()
     if inputs.ccu is None and store.exists("crm_ccu"):
         inputs.ccu = store.read("crm_ccu").select("time", "ccu")
-    job = DailyJob(inputs, dates, upstream=store.read)
+    job = DailyJob(inputs, dates, upstream=store.read, persist_shared=True)
     written = {}
-    for table in output_tables(commands):
-        df = job.output(table)
-        if table in RETENTION_TABLES:  # cells (cohort date, day) inside date partitions
-            written[table] = store.replace_cells(table, df, "date", "day", replace_keys(table, dates))
-        else:
-            written[table] = store.replace(table, df, partition_columns(table), replace_keys(table, dates))
+    try:
+        for table in output_tables(commands):
+            df = job.output(table)
+            if table in RETENTION_TABLES:  # cells (cohort date, day) inside date partitions
+                written[table] = store.replace_cells(table, df, "date", "day", replace_keys(table, dates))
+            else:
+                written[table] = store.replace(table, df, partition_columns(table), replace_keys(table, dates))
+    finally:
+        job.release()
     return written
 
 
