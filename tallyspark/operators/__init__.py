@@ -12,6 +12,7 @@ from tallyspark.operators.match_stats import (  # noqa: F401
 from tallyspark.operators.payments import (  # noqa: F401
     paid_account_daily, revenue_daily, shop_product_daily, shop_product_daily_country,
 )
+from tallyspark.operators.quality import rejected_values  # noqa: F401
 from tallyspark.operators.periodic import basic_period, basic_period_country  # noqa: F401
 from tallyspark.operators.replay import pick_best, purge_picks  # noqa: F401
 from tallyspark.operators.retention import retention  # noqa: F401

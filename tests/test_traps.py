@@ -241,3 +241,17 @@ def test_t15_retention_counts_duplicate_copies_like_the_join(spark):
     assert rows(job.output("retention"), "day", "arenalevel", "cnt_o", "cnt") == [(1, 2, 9, 9)]
     assert rows(job.output("retention_country"), "country", "cnt_o", "cnt") == [("JP", 3, 3), ("KR", 3, 3),
                                                                                 ("US", 3, 3)]
+
+
+def test_t2_rejected_values_are_counted(spark):
+    inp = make_inputs(spark, logs=[
+        (1, "2024-01-16 10:00:00", "Shop:Buy", {"paytype": "Cash", "productid": "x1", "price": 5}),
+        (1, "2024-01-16 11:00:00", "Shop:Buy", {"paytype": "Cash", "productid": 7}),
+        (1, "2024-01-16 12:00:00", "ArenaEnd", {"myinfo": {"cardweight": "heavy", "arenapoint": 99999}}),
+    ])
+    got = {(r.command, r.key): (r.present, r.rejected) for r in ops.rejected_values(inp.gamelogs, ONE).collect()}
+    assert got[("Shop:Buy", "productid")] == (2, 1)
+    assert got[("Shop:Buy", "price")] == (1, 0)
+    assert got[("ArenaEnd", "myinfo.cardweight")] == (1, 1)
+    assert got[("ArenaEnd", "myinfo.arenapoint")] == (1, 1)      # 99999 overflows smallint
+    assert got[("ArenaEnd", "turncount")] == (0, 0)
