@@ -22,7 +22,7 @@ from tallyspark import operators as ops
 from tallyspark.operators.match_stats import ARENA_ROLLUPS
 from tallyspark.operators.periodic import period_input_dates
 from tallyspark.operators.retention import cohort_dates
-from tallyspark.plans.schemas import OUTPUT_SCHEMAS
+from tallyspark.plans.schemas import column_names
 from tallyspark.rundates import RunDates
 from tallyspark.sources.inputs import Inputs
 
@@ -145,13 +145,19 @@ class DailyJob:
     def dau(self, days: RunDates) -> DataFrame:
         return self._daily("dau", days, lambda: ops.dau(self.account_daily(days), days))
 
+    def ccu(self) -> DataFrame:
+        """The per-minute CCU table; without one, ``mcu`` is NULL."""
+        if self.inputs.ccu is not None:
+            return self.inputs.ccu
+        return self.inputs.footprint.sparkSession.createDataFrame([], "time timestamp, ccu int")
+
     def basic_daily(self, days: RunDates) -> DataFrame:
         # From the log, the DAU table's per-level counts summed per day are
         # just the account-daily rows of the day: count those directly.
         i = self.inputs
         return self._daily("basic_daily", days, lambda: ops.basic_daily(
             i.footprint, self.account_daily(days).select("date", "arenalevel", F.lit(1).alias("dau")),
-            self.revenue_daily(days), i.ccu, days))
+            self.revenue_daily(days), self.ccu(), days))
 
     def new_accounts_daily(self, days: RunDates) -> DataFrame:
         """(date, nru) of the basic-daily table. From the log it is one
@@ -213,7 +219,7 @@ class DailyJob:
             df = ops.retention(self.account_daily(cohort_dates(d)), d, cohort, by)
         else:
             raise KeyError(table)
-        return df.select(*_columns(table))
+        return df.select(*column_names(table))
 
     def _compute_now(self, table: str) -> DataFrame:
         """In table mode, the table itself is computed from its inputs for the
@@ -228,12 +234,9 @@ class DailyJob:
         if table == "dau":
             return ops.dau(self.account_daily(d), d)
         if table == "basic_daily":
-            return ops.basic_daily(i.footprint, self.dau(d), self.revenue_daily(d), i.ccu, d)
+            return ops.basic_daily(i.footprint, self.dau(d), self.revenue_daily(d), self.ccu(), d)
         if table == "basic_daily_country":
             return ops.basic_daily_country(self.account_daily(d), i.footprint, i.staticaccount,
                                            self.revenue_daily(d), d)
         raise KeyError(table)
 
-
-def _columns(table: str) -> list[str]:
-    return [part.strip().split(" ")[0] for part in OUTPUT_SCHEMAS[table].split(",")]

@@ -255,3 +255,11 @@ def test_t2_rejected_values_are_counted(spark):
     assert got[("ArenaEnd", "myinfo.cardweight")] == (1, 1)
     assert got[("ArenaEnd", "myinfo.arenapoint")] == (1, 1)      # 99999 overflows smallint
     assert got[("ArenaEnd", "turncount")] == (0, 0)
+
+
+def test_basic_daily_without_ccu_table(spark):
+    inp = make_inputs(spark, logs=[login(1, "2024-01-16 10:00:00", 1)],
+                      footprint=[(1, "2024-01-01 00:00:00")], static=[(1, "KR")])
+    inp.ccu = None
+    r = DailyJob(inp, ONE).output("basic_daily").collect()[0]
+    assert (r["dau"], r["mcu"]) == (1, None)
