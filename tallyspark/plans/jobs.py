@@ -71,7 +71,7 @@ def ccu_job(server_status, store: TableStore, now: dt.datetime | None = None,
     """Sum live servers' CCU and upsert the row of the current minute."""
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     row = ops.ccu(server_status, now, staleness)
-    store.upsert("crm_ccu", row, "time", "day", F.to_date("time"))
+    store.upsert("crm_ccu", row, "time", "day", F.to_date("time"), parts=[now.date()])
     return now.replace(second=0, microsecond=0)
 
 
@@ -91,7 +91,7 @@ def replay_pick_job(replay, store: TableStore, buckets: list[str] | None = None,
             if rel.split("=", 1)[1] < kept_prefix:
                 store._delete(f"{table}/{rel}")
     picks = ops.pick_best(replay, buckets)
-    return store.upsert(table, picks, "uniqueKey", "dateHour")
+    return store.upsert(table, picks, "uniqueKey", "dateHour", parts=buckets)
 
 
 def replay_backfill_job(replay, store: TableStore, start_key: str, end_key: str,
