@@ -3,6 +3,7 @@
     python -m tallyspark daily  --inputs ROOT --store ROOT [--start D --end D] [--commands A,B] [--vacuum]
     python -m tallyspark ccu    --inputs ROOT --store ROOT [--now TS] [--staleness strict]
     python -m tallyspark replay --inputs ROOT --store ROOT [--interval 60] [--start KEY --end KEY] [--purge-old]
+    python -m tallyspark ccu-stream --inputs HEARTBEAT_FOLDER --store ROOT --checkpoint SHARED_FOLDER
 
 ``--inputs`` holds the input tables (``gamelogs`` partitioned by
 ``event_date``, ``rds_footprint``, ``rds_staticaccount``, ``server_status``,
@@ -27,7 +28,7 @@ from tallyspark.sources.inputs import read_table_inputs
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="tallyspark")
-    ap.add_argument("job", choices=["daily", "ccu", "replay"])
+    ap.add_argument("job", choices=["daily", "ccu", "replay", "ccu-stream"])
     ap.add_argument("--inputs", required=True)
     ap.add_argument("--store", required=True)
     ap.add_argument("--master", default=None, help="only for local runs; on a cluster use spark-submit")
@@ -39,6 +40,8 @@ def main(argv=None) -> None:
     ap.add_argument("--staleness", default="as_reference")
     ap.add_argument("--interval", type=int, default=60)
     ap.add_argument("--purge-old", action="store_true")
+    ap.add_argument("--checkpoint", help="ccu-stream: shared folder for the stream's progress and state")
+    ap.add_argument("--lateness", default="2 minutes")
     a = ap.parse_args(argv)
 
     spark = build_session(master=a.master) if a.master else _cluster_session()
@@ -54,6 +57,13 @@ def main(argv=None) -> None:
         commands = [c for c in a.commands.split(",") if c] or None
         written = jobs.daily_crm(inputs, store, dates, commands)
         print(json.dumps({t: len(p) for t, p in written.items()}))
+    elif a.job == "ccu-stream":
+        from tallyspark.streaming import start_ccu_stream
+        if not a.checkpoint:
+            ap.error("ccu-stream needs --checkpoint")
+        heartbeats = (spark.readStream.schema("hashkey string, dtmUpdated timestamp, numCCU int")
+                      .parquet(a.inputs))
+        start_ccu_stream(heartbeats, store, a.checkpoint, a.lateness).awaitTermination()
     elif a.job == "ccu":
         inputs = read_table_inputs(spark, a.inputs)
         minute = jobs.ccu_job(inputs.server_status, store, now, a.staleness)
