@@ -59,6 +59,20 @@ def bucket_key_before(now: Column | str, interval_minutes: int) -> Column:
     return F.date_format(now - F.make_dt_interval(F.lit(0), F.lit(0), back), BUCKET_FORMAT)
 
 
+def in_bucket_series(key: Column | str, start_key: str, end_key: str, interval_minutes: int) -> Column:
+    """``key`` is one of the bucket keys from ``start_key`` stepping
+    ``interval_minutes`` up to ``end_key`` (always including ``start_key``),
+    without listing them: a text range (pushed to the Parquet scan) and an
+    alignment test on the minutes since ``start_key``."""
+    key = _col(key)
+    end_key = max(start_key, end_key)
+    start = F.to_timestamp(F.lit(start_key), BUCKET_FORMAT)
+    minutes = (F.unix_seconds(F.try_to_timestamp(key, F.lit(BUCKET_FORMAT))) - F.unix_seconds(start)) / 60
+    return (key.between(F.lit(start_key), F.lit(end_key))
+            & (F.length(key) == len("yyyyMMddHHmm"))
+            & (F.pmod(minutes, F.lit(interval_minutes)) == 0))
+
+
 def bucket_series(start_key: Column | str, end_key: Column | str, interval_minutes: int) -> Column:
     """Array of bucket keys from ``start_key`` stepping ``interval_minutes``
     while not past ``end_key``; always holds ``start_key``."""

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def pick_best(replay: DataFrame, buckets: Iterable[str] | None = None, min_arena: int = 2) -> DataFrame:
+def pick_best(replay: DataFrame, buckets: Iterable[str] | None = None, min_arena: int = 2,
+              bucket_pred: Column | None = None) -> DataFrame:
     """Per (bucket, arena) with ``arena >= min_arena``: the replay with the
     highest score, ties to the smallest ``uniqueKey``, NULL scores last. The
-    full replay row is returned.
+    full replay row is returned. ``buckets`` lists bucket keys;
+    ``bucket_pred`` selects them by predicate instead (a long series).
 
     The winner of a group is found with a ``min`` over a small ranking
     struct, which Spark pre-aggregates in every task: a bucket or arena
@@ -22,6 +24,8 @@ def pick_best(replay: DataFrame, buckets: Iterable[str] | None = None, min_arena
     src = replay
     if buckets is not None:
         src = src.where(F.col("dateHour").isin(list(buckets)))
+    if bucket_pred is not None:  # a bucket series given as a predicate
+        src = src.where(bucket_pred)
     src = src.where(F.col("arena") >= F.lit(min_arena))
     rank = F.struct(F.col("score").isNull().alias("no_score"),
                     (-F.col("score").cast("bigint")).alias("neg_score"),

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.dates import BUCKET_FORMAT
+from tallyspark.functions.dates import BUCKET_FORMAT, in_bucket_series
 from tallyspark.operators.replay import pick_best
 
 PY_BUCKET_FORMAT = "%Y%m%d%H%M"
@@ -42,7 +42,9 @@ def replay_backfill(replay: DataFrame, start_key: str | None = None, end_key: st
         row = replay.agg(F.min("dateHour").alias("lo"), F.max("dateHour").alias("hi")).first()
         start_key = start_key or row["lo"]
         end_key = end_key or row["hi"]
-    return pick_best(replay, bucket_keys(start_key, end_key, interval_minutes))
+    # A predicate, not a literal list: a year of hourly buckets would be
+    # 8,760 literals, too many for the scan's pushdown.
+    return pick_best(replay, bucket_pred=in_bucket_series("dateHour", start_key, end_key, interval_minutes))
 
 
 __all__ = ["BUCKET_FORMAT", "bucket_keys", "previous_bucket", "replay_backfill"]

@@ -64,3 +64,15 @@ def test_bind_hashes(spark):
     assert (got["ServerDesc:1"].numCCU, got["ServerDesc:1"].IsActive) == (12, False)
     assert got["ServerDesc:1"].dtmUpdated == dt.datetime(2024, 1, 16, 11, 59)
     assert got["ServerDesc:2"].numCCU is None
+
+
+def test_in_bucket_series_equals_listed_keys(spark):
+    from tallyspark.functions.dates import in_bucket_series
+    keys = ["202401161100", "202401161200", "202401161230", "202401161300", "202401161400", "20240116130",
+            "2024011613000", "202401161500", "junk", None]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    for start, end, step in (("202401161200", "202401161400", 60), ("202401161200", "202401161400", 30),
+                             ("202401161300", "202401161200", 60)):
+        listed = set(bucket_keys(start, end, step))
+        got = {r.k for r in df.where(in_bucket_series("k", start, end, step)).collect()}
+        assert got == listed & set(k for k in keys if k), (start, end, step)
