@@ -28,3 +28,17 @@ def test_cli_daily_ccu_replay(spark, capsys):
     picks = store.read("replay_pick")
     assert picks.count() > 0 and {r.dateHour for r in picks.select("dateHour").distinct().collect()} <= {
         "202401160000", "202401160100", "202401160200"}
+
+
+def test_cli_vacuum_purges_old_log_days(spark, capsys):
+    from tallyspark.rundates import ts_lit  # noqa: F401
+    inputs = fixture_inputs(spark, SF_SMALL)
+    root = tempfile.mkdtemp(prefix="ts-in-")
+    inputs.gamelogs.write.partitionBy("event_date").parquet(f"{root}/gamelogs")
+    main(["daily", "--inputs", root, "--store", tempfile.mkdtemp(prefix="ts-out-"), "--vacuum",
+          "--now", "2024-04-16T06:30:00"])
+    dropped = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["purged_partitions"]
+    assert dropped == [f"event_date=2024-01-{d:02d}" for d in range(1, 16)]
+    left = spark.read.parquet(f"{root}/gamelogs")
+    assert left.agg({"time": "min"}).first()[0].isoformat(sep=" ") >= "2024-01-16 06:30:00"
+    assert left.count() == inputs.gamelogs.where("time >= timestamp'2024-01-16 06:30:00'").count()
