@@ -19,5 +19,11 @@ def purge_cutoff(now: dt.datetime, months: int = RETENTION_MONTHS):
 
 
 def retained_log(log: DataFrame, now: dt.datetime, months: int = RETENTION_MONTHS) -> DataFrame:
-    """Rows the purge keeps: ``time`` not older than the cutoff."""
-    return log.where(F.col("time") >= purge_cutoff(now, months))
+    """Rows the purge keeps: ``time`` not older than the cutoff. On a log
+    partitioned by ``event_date`` the days before the cutoff's day are
+    pruned from the scan."""
+    cutoff = purge_cutoff(now, months)
+    cond = F.col("time") >= cutoff
+    if "event_date" in log.columns:
+        cond = (F.col("event_date") >= F.to_date(cutoff)) & cond
+    return log.where(cond)
