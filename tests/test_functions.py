@@ -76,3 +76,9 @@ def test_in_bucket_series_equals_listed_keys(spark):
         listed = set(bucket_keys(start, end, step))
         got = {r.k for r in df.where(in_bucket_series("k", start, end, step)).collect()}
         assert got == listed & set(k for k in keys if k), (start, end, step)
+
+
+def test_checkpoint_dir_is_read_from_the_session(spark):
+    from tallyspark.session import ensure_checkpoint_dir
+    before = spark.conf.get("spark.checkpoint.dir")
+    assert before and ensure_checkpoint_dir(spark) == before   # an existing setting is kept as is
