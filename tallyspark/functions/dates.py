@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 WEEKDAYS = {"sunday": 0, "monday": 1, "tuesday": 2, "wednesday": 3,
             "thursday": 4, "friday": 5, "saturday": 6}
 
+# Fixed value: replay bucket key format.
 BUCKET_FORMAT = "yyyyMMddHHmm"
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.rundates import ts_lit
 
+# Key prefix of game-server status hashes; liveness modes.
 STATUS_PREFIX = "ServerDesc:"
 
 STALENESS_MODES = ("as_reference", "strict")

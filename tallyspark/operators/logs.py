@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.rundates import ts_lit
 
+# Fixed value: months of log kept by the purge.
 RETENTION_MONTHS = 3
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.rundates import RunDates
 
+# Cohort offsets in days (D-1 .. D-7, D-15, D-30).
 OFFSETS = (1, 2, 3, 4, 5, 6, 7, 15, 30)
 
 COHORTS = ("all", "new", "new_paying")

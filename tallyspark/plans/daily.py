@@ -26,7 +26,8 @@ from tallyspark.plans.schemas import column_names
 from tallyspark.rundates import RunDates
 from tallyspark.sources.inputs import Inputs
 
-# Commands in declared order (a valid dependency order) -> output tables.
+# The reference's command names, in its declared order (a
+# valid dependency order), and the output tables each one writes.
 COMMANDS: dict[str, tuple[str, ...]] = {
     "AccountDaily": ("account_daily",),
     "PaidAccountDaily": ("paid_account_daily",),
