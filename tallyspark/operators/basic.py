@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions.dates import event_run_dates
 from tallyspark.rundates import RunDates
 
+
 def _zero():
     return F.lit(0).cast("bigint")
 
