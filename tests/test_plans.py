@@ -70,3 +70,27 @@ def test_country_sales_reduce_per_account_before_join(spark, inputs):
                                             RunDates.between("2024-01-01", "2024-01-30")))
     join = p.find("Join")
     assert "partial_count" in p[join:] or "partial_sum" in p[join:]
+
+
+def test_bucketed_dimensions_are_not_shuffled(spark, inputs):
+    import tempfile
+
+    from conftest import rows
+
+    from tallyspark.sources.dimensions import with_bucketed_dimensions
+    bucketed = with_bucketed_dimensions(inputs, 4, root=tempfile.mkdtemp(prefix="ts-dims-"))
+    dates = RunDates.between("2024-01-01", "2024-01-30")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # as with large dimensions
+    try:
+        df = ops.account_daily(bucketed.gamelogs, bucketed.footprint, bucketed.staticaccount, dates)
+        p = plan(df)
+        assert p.count("Bucketed: true") == 2 and p.count("SortMergeJoin") == 2
+        # only the log side is shuffled: by (date, account) for the map-side
+        # reduction, then by account for the joins; plain dimensions add two more
+        assert p.count("Exchange hashpartitioning") == 2
+        plain = plan(ops.account_daily(inputs.gamelogs, inputs.footprint, inputs.staticaccount, dates))
+        assert plain.count("Exchange hashpartitioning") == 4
+        expect = ops.account_daily(inputs.gamelogs, inputs.footprint, inputs.staticaccount, dates)
+        assert rows(df) == rows(expect)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
