@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,7 +17,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(master="local[4]", shuffle_partitions=4)
+    # catalog tables (bucketed dimensions) go to a scratch warehouse, not the working directory
+    s = build_session(master="local[4]", shuffle_partitions=4,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ts-warehouse-")})
     yield s
 
 
