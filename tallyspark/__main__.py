@@ -1,6 +1,6 @@
 """Command line: run a scheduled job against stored tables.
 
-    python -m tallyspark daily  --inputs ROOT --store ROOT [--start D --end D] [--commands A,B] [--vacuum]
+    python -m tallyspark daily  --inputs ROOT --store ROOT [--start D --end D] [--commands A,B] [--vacuum] [--parallel N]
     python -m tallyspark ccu    --inputs ROOT --store ROOT [--now TS] [--staleness strict]
     python -m tallyspark replay --inputs ROOT --store ROOT [--interval 60] [--start KEY --end KEY] [--purge-old]
     python -m tallyspark ccu-stream --inputs HEARTBEAT_FOLDER --store ROOT --checkpoint SHARED_FOLDER
@@ -42,6 +42,7 @@ def main(argv=None) -> None:
     ap.add_argument("--purge-old", action="store_true")
     ap.add_argument("--checkpoint", help="ccu-stream: shared folder for the stream's progress and state")
     ap.add_argument("--lateness", default="2 minutes")
+    ap.add_argument("--parallel", type=int, default=1, help="daily: concurrent table writes per dependency wave")
     a = ap.parse_args(argv)
 
     spark = build_session(master=a.master) if a.master else _cluster_session()
@@ -55,7 +56,7 @@ def main(argv=None) -> None:
         inputs = read_table_inputs(spark, a.inputs)
         dates = RunDates(date_series(a.start, a.end or a.start)) if a.start else None
         commands = [c for c in a.commands.split(",") if c] or None
-        written = jobs.daily_crm(inputs, store, dates, commands)
+        written = jobs.daily_crm(inputs, store, dates, commands, parallel=a.parallel)
         print(json.dumps({t: len(p) for t, p in written.items()}))
     elif a.job == "ccu-stream":
         from tallyspark.streaming import start_ccu_stream

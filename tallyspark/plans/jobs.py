@@ -6,13 +6,15 @@ from __future__ import annotations
 import calendar
 import datetime as dt
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
 from tallyspark import operators as ops
 from tallyspark.operators.periodic import period_start
 from tallyspark.operators.retention import OFFSETS
-from tallyspark.plans.daily import DailyJob, output_tables
+from tallyspark.operators.match_stats import ARENA_ROLLUPS
+from tallyspark.plans.daily import DEPENDS_ON, DailyJob, output_tables
 from tallyspark.plans.replay import DEFAULT_INTERVAL, bucket_keys, previous_bucket
 from tallyspark.plans.schemas import RETENTION_TABLES, partition_columns
 from tallyspark.rundates import RunDates
@@ -40,30 +42,58 @@ def replace_keys(table: str, dates: RunDates) -> list[tuple]:
     return [(d,) for d in dates]
 
 
+def dependency_waves(tables: list[str]) -> list[list[str]]:
+    """Group tables into waves: a table runs after every table it reads
+    that is part of the same run (declared order is a valid order)."""
+    level: dict[str, int] = {}
+    for t in tables:
+        deps = [d for d in DEPENDS_ON.get(t, ()) if d in level]
+        level[t] = 1 + max((level[d] for d in deps), default=-1)
+    waves: list[list[str]] = [[] for _ in range(max(level.values(), default=-1) + 1)]
+    for t in tables:
+        waves[level[t]].append(t)
+    return waves
+
+
 def daily_crm(inputs: Inputs, store: TableStore, dates: RunDates | None = None,
-              commands: Iterable[str] | None = None) -> dict[str, list[str]]:
+              commands: Iterable[str] | None = None, parallel: int = 1) -> dict[str, list[str]]:
     """Run the daily commands for all ``dates`` at once (default: yesterday,
     UTC) and replace their keys in the store.
 
     Tables are written in declared command order; a later command reads what
     earlier ones stored (so each output is its own Spark job with a short
     lineage, and a rerun of one command sees the stored inputs). The result
-    equals running the dates one by one in ascending order."""
+    equals running the dates one by one in ascending order. With
+    ``parallel > 1`` the tables of a dependency wave (those whose inputs are
+    already written) are written as concurrent Spark jobs."""
     dates = dates or RunDates.yesterday()
     if inputs.ccu is None and store.exists("crm_ccu"):
         inputs.ccu = store.read("crm_ccu").select("time", "ccu")
     job = DailyJob(inputs, dates, upstream=store.read, persist_shared=True)
+    tables = output_tables(commands)
+    if parallel > 1:  # the shared intermediate is created once, before threads use it
+        if any(t in ARENA_ROLLUPS for t in tables):
+            job.arena_matches()
+
+    def write(table: str) -> list[str]:
+        df = job.output(table)
+        if table in RETENTION_TABLES:  # cells (cohort date, day) inside date partitions
+            return store.replace_cells(table, df, "date", "day", replace_keys(table, dates))
+        return store.replace(table, df, partition_columns(table), replace_keys(table, dates))
+
     written = {}
     try:
-        for table in output_tables(commands):
-            df = job.output(table)
-            if table in RETENTION_TABLES:  # cells (cohort date, day) inside date partitions
-                written[table] = store.replace_cells(table, df, "date", "day", replace_keys(table, dates))
-            else:
-                written[table] = store.replace(table, df, partition_columns(table), replace_keys(table, dates))
+        if parallel <= 1:
+            for table in tables:
+                written[table] = write(table)
+        else:
+            with ThreadPoolExecutor(max_workers=parallel) as pool:
+                for wave in dependency_waves(tables):
+                    for table, parts in zip(wave, pool.map(write, wave)):
+                        written[table] = parts
     finally:
         job.release()
-    return written
+    return {t: written[t] for t in tables}
 
 
 def ccu_job(server_status, store: TableStore, now: dt.datetime | None = None,
