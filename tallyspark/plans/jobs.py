@@ -43,12 +43,15 @@ def replace_keys(table: str, dates: RunDates) -> list[tuple]:
 
 
 def dependency_waves(tables: list[str]) -> list[list[str]]:
-    """Group tables into waves: a table runs after every table it reads
-    that is part of the same run (declared order is a valid order)."""
+    """Group tables into waves that keep the sequential semantics of the
+    given order: a table runs after every earlier table it reads (it must see
+    the new rows) and after every earlier table that reads it (they must
+    see the old rows, and never a table in the middle of its swap)."""
     level: dict[str, int] = {}
     for t in tables:
-        deps = [d for d in DEPENDS_ON.get(t, ()) if d in level]
-        level[t] = 1 + max((level[d] for d in deps), default=-1)
+        before = [d for d in DEPENDS_ON.get(t, ()) if d in level]
+        before += [r for r in level if t in DEPENDS_ON.get(r, ())]
+        level[t] = 1 + max((level[d] for d in before), default=-1)
     waves: list[list[str]] = [[] for _ in range(max(level.values(), default=-1) + 1)]
     for t in tables:
         waves[level[t]].append(t)
