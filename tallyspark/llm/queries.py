@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from .common import read
-from . import mixing
+from . import chat, mixing
 
 
 def op8_mix(spark, sf_dir):
     return mixing.op8_mix(read(spark, sf_dir, "documents"))
 
 
+def op10_chat(spark, sf_dir):
+    return chat.op10_chat(read(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict:
-    return {"op8_mix": op8_mix}
+    return {"op8_mix": op8_mix, "op10_chat": op10_chat}
 
 
 def oracle_sql() -> dict:
