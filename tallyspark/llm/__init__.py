@@ -1 +1,8 @@
 """Operators for building language-model training data (see each module)."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run on executors travel by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .common import read
-from . import chat, mixing
+from . import chat, mixing, topk
 
 
 def op8_mix(spark, sf_dir):
@@ -14,9 +14,13 @@ def op10_chat(spark, sf_dir):
     return chat.op10_chat(read(spark, sf_dir, "conversations"))
 
 
+def op2_topk(spark, sf_dir):
+    return topk.op2_topk(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    return {"op8_mix": op8_mix, "op10_chat": op10_chat}
+    return {"op8_mix": op8_mix, "op10_chat": op10_chat, "op2_topk": op2_topk}
 
 
 def oracle_sql() -> dict:
-    return {"op8_mix": mixing.ORACLE}
+    return {"op8_mix": mixing.ORACLE, "op2_topk": topk.ORACLE}
