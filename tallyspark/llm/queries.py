@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from .common import read
-from . import chat, mixing, topk
+from . import chat, mixing, topk, toxicity
+
+
+def op1_toxicity(spark, sf_dir):
+    return toxicity.op1_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def op8_mix(spark, sf_dir):
@@ -19,7 +23,7 @@ def op2_topk(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op8_mix": op8_mix, "op10_chat": op10_chat, "op2_topk": op2_topk}
+    return {"op1_toxicity": op1_toxicity, "op8_mix": op8_mix, "op10_chat": op10_chat, "op2_topk": op2_topk}
 
 
 def oracle_sql() -> dict:
