@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from .common import read
-from . import chat, mixing, topk, toxicity
+from . import chat, mixing, topk, toxicity, urls
 
 
 def op1_toxicity(spark, sf_dir):
     return toxicity.op1_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_urls(spark, sf_dir):
+    return urls.op9_urls(read(spark, sf_dir, "pages"))
+
+
 def op8_mix(spark, sf_dir):
     return mixing.op8_mix(read(spark, sf_dir, "documents"))
 
@@ -23,7 +27,7 @@ def op2_topk(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op1_toxicity": op1_toxicity, "op8_mix": op8_mix, "op10_chat": op10_chat, "op2_topk": op2_topk}
+    return {"op1_toxicity": op1_toxicity, "op8_mix": op8_mix, "op9_urls": op9_urls, "op10_chat": op10_chat, "op2_topk": op2_topk}
 
 
 def oracle_sql() -> dict:
