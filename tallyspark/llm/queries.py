@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .common import read
-from . import chat, mixing, topk, toxicity, urls
+from . import chat, decontaminate, mixing, topk, toxicity, urls
 
 
 def op1_toxicity(spark, sf_dir):
@@ -14,6 +14,10 @@ def op9_urls(spark, sf_dir):
     return urls.op9_urls(read(spark, sf_dir, "pages"))
 
 
+def op3_decontaminate(spark, sf_dir):
+    return decontaminate.op3_decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_mix(spark, sf_dir):
     return mixing.op8_mix(read(spark, sf_dir, "documents"))
 
@@ -27,7 +31,7 @@ def op2_topk(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op1_toxicity": op1_toxicity, "op8_mix": op8_mix, "op9_urls": op9_urls, "op10_chat": op10_chat, "op2_topk": op2_topk}
+    return {"op1_toxicity": op1_toxicity, "op3_decontaminate": op3_decontaminate, "op8_mix": op8_mix, "op9_urls": op9_urls, "op10_chat": op10_chat, "op2_topk": op2_topk}
 
 
 def oracle_sql() -> dict:

@@ -110,8 +110,10 @@ def _without_copies(texts: DataFrame) -> DataFrame:
     texts = texts.withColumn("words", words)
     triples = F.when(F.size("words") > 3, F.transform(F.sequence(F.lit(1), F.size("words") - 2), lambda i: F.slice("words", i, 3))).otherwise(F.array("words"))
     texts = texts.withColumn("triples", triples)
-    hashes = [F.array_min(F.transform("triples", lambda t, n=n: F.xxhash64(F.lit(n), t))).alias(f"h{n}") for n in range(3)]
-    texts = texts.select("doc_id", "text", "toxic", *hashes)
+    def least_hash(n: int) -> Column:
+        return F.array_min(F.transform("triples", lambda t: F.xxhash64(F.lit(n), t))).alias(f"h{n}")
+
+    texts = texts.select("doc_id", "text", "toxic", *map(least_hash, range(3)))
     rest = ["text", "toxic", "h0", "h1", "h2"]
     for n in range(3):
         first = F.min_by(F.struct("doc_id", *rest), F.struct("toxic", "doc_id")).alias("row")
