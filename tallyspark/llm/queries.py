@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .common import read
-from . import chat, decontaminate, mixing, token_shards, topk, toxicity, urls
+from . import chat, decontaminate, jaccard, mixing, token_shards, topk, toxicity, urls
 
 
 def op1_toxicity(spark, sf_dir):
@@ -18,6 +18,10 @@ def op3_decontaminate(spark, sf_dir):
     return decontaminate.op3_decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op6_jaccard(spark, sf_dir):
+    return jaccard.op6_jaccard(read(spark, sf_dir, "documents"))
+
+
 def op7_shards(spark, sf_dir):
     return token_shards.op7_shards(read(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op2_topk(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op1_toxicity": op1_toxicity, "op3_decontaminate": op3_decontaminate, "op7_shards": op7_shards, "op8_mix": op8_mix, "op9_urls": op9_urls, "op10_chat": op10_chat, "op2_topk": op2_topk}
+    return {"op1_toxicity": op1_toxicity, "op3_decontaminate": op3_decontaminate, "op6_jaccard": op6_jaccard, "op7_shards": op7_shards, "op8_mix": op8_mix, "op9_urls": op9_urls, "op10_chat": op10_chat, "op2_topk": op2_topk}
 
 
 def oracle_sql() -> dict:
