@@ -259,11 +259,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component, that with the smallest
-    id (of repeated rows one), and all wordless or id-less ones."""
+    id (of rows that repeat id and text one), and all wordless or id-less ones."""
     found = near_duplicates(docs, width, percent)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
     kept = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
-    return kept
+    # Rows repeated under one id are rare: only these go through a shuffle by text.
+    again = found.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
+    if not again.take(1):
+        return kept
+    again = again.select(F.col("doc_id").alias("again_id"))
+    same = F.col("doc_id") == F.col("again_id")
+    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def op6_jaccard(docs: DataFrame) -> DataFrame:
