@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .common import read
-from . import chat, decontaminate, jaccard, lm_score, mixing, token_shards, topk, toxicity, urls
+from . import chat, decontaminate, jaccard, lm_score, mixing, pii, token_shards, topk, toxicity, urls
 
 
 def op1_toxicity(spark, sf_dir):
@@ -18,6 +18,10 @@ def op3_decontaminate(spark, sf_dir):
     return decontaminate.op3_decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op4_pii(spark, sf_dir):
+    return pii.op4_pii(read(spark, sf_dir, "documents"))
+
+
 def op5_lm(spark, sf_dir):
     return lm_score.op5_lm(read(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op2_topk(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op1_toxicity": op1_toxicity, "op3_decontaminate": op3_decontaminate, "op5_lm": op5_lm, "op6_jaccard": op6_jaccard, "op7_shards": op7_shards, "op8_mix": op8_mix, "op9_urls": op9_urls, "op10_chat": op10_chat, "op2_topk": op2_topk}
+    return {"op1_toxicity": op1_toxicity, "op3_decontaminate": op3_decontaminate, "op4_pii": op4_pii, "op5_lm": op5_lm, "op6_jaccard": op6_jaccard, "op7_shards": op7_shards, "op8_mix": op8_mix, "op9_urls": op9_urls, "op10_chat": op10_chat, "op2_topk": op2_topk}
 
 
 def oracle_sql() -> dict:
