@@ -2,8 +2,11 @@
 
 The status store keeps one hash per game server. Read as a long table
 ``(hashkey, field, value)``, the hashes become one typed row per server in a
-single grouped pass. Unknown fields are ignored; a value that does not parse
-gives NULL in that column (the row is kept; callers decide).
+single grouped pass. Unknown fields are ignored. A missing field gives NULL; a
+value that is present but does not parse gives NULL and counts in the column
+``bad_fields``, so callers can tell the two apart (and drop such a row).
+
+Stamps are read as ISO text or in the form ``1/16/2024 11:59:58 AM``.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ def _typed(value: Column, spark_type: str) -> Column:
         v = F.lower(F.trim(value))
         return F.when(v == "true", F.lit(True)).when(v == "false", F.lit(False))
     if spark_type == "timestamp":
-        return F.try_to_timestamp(value)
+        return F.coalesce(F.try_to_timestamp(value), F.try_to_timestamp(value, F.lit("M/d/yyyy h:mm:ss a")))
     return value.try_cast(spark_type)
 
 
@@ -42,7 +45,9 @@ def bind_hashes(entries: DataFrame, fields: dict[str, str] | None = None) -> Dat
     known = entries.where(F.col("field").isin(list(fields)))
     raw = known.groupBy("hashkey").agg(
         *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields])
-    return raw.select("hashkey", *[_typed(F.col(f), t).alias(f) for f, t in fields.items()])
+    typed = {f: _typed(F.col(f), t) for f, t in fields.items()}
+    bad = [(F.col(f).isNotNull() & c.isNull()).cast("int") for f, c in typed.items()]
+    return raw.select("hashkey", *[c.alias(f) for f, c in typed.items()], sum(bad[1:], bad[0]).alias("bad_fields"))
 
 
 def hash_entries(status: DataFrame) -> DataFrame:

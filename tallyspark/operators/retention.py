@@ -63,11 +63,14 @@ def retention(account_daily_df: DataFrame, dates: RunDates, cohort: str = "all",
     returning_entry = F.array(F.struct(F.col("date").alias("target"), F.lit(0).alias("day")))
     entries = F.concat(
         F.when(F.coalesce(as_cohort, F.lit(False)), cohort_entries).otherwise(F.array().cast(cohort_entries_type())),
-        F.when(dates.date_filter("date"), returning_entry).otherwise(F.array().cast(cohort_entries_type())))
+        F.when(dates.date_filter("date") & F.col("oidaccount").isNotNull(), returning_entry).otherwise(F.array().cast(cohort_entries_type())))
+    # Rows are dealt by account before each is expanded to its run dates: that
+    # one shuffle of the unexpanded rows serves both the count and the window.
     # Identical entries (duplicate account-daily rows) collapse to a count
-    # ``m`` map-side first, so the window sees a few rows per key even when
-    # one account has very many copies.
-    counted = (src.select("oidaccount", "date", *keys, F.explode(entries).alias("e"))
+    # ``m`` first, so the window sees a few rows per key.
+    src = src.select("oidaccount", "date", *(["isnew"] if cohort != "all" else []),
+                     *(["arenalevel"] if cohort == "new_paying" and by != "arenalevel" else []), *keys)
+    counted = (src.repartition("oidaccount").select("oidaccount", "date", *keys, F.explode(entries).alias("e"))
                .groupBy("oidaccount", F.col("e.target").alias("target"), "date", F.col("e.day").alias("day"), *keys)
                .agg(F.count(F.lit(1)).alias("m")))
     per_key = Window.partitionBy("oidaccount", "target")

@@ -16,9 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ONE_DAY = dt.timedelta(days=1)
-# A date list is broadcast when joined; it is one row per calendar day, so this
-# cap (about 270 years) is a guard against misuse, not a tuning knob.
-MAX_RUN_DATES = 100_000
 
 
 def _as_date(value) -> dt.date:
@@ -48,8 +45,6 @@ class RunDates:
         values = tuple(sorted({_as_date(d) for d in dates}))
         if not values:
             raise ValueError("at least one run date is required")
-        if len(values) > MAX_RUN_DATES:
-            raise ValueError(f"{len(values)} run dates exceed the cap of {MAX_RUN_DATES}")
         self.values = values
         self._preds: dict[tuple[str, str], Column] = {}
 
@@ -123,21 +118,29 @@ class RunDates:
             if key not in self._preds:
                 self._preds[key] = self.date_filter(F.col(col))
             return self._preds[key]
-        preds = [col.between(F.lit(lo), F.lit(hi)) for lo, hi in self.ranges()]
-        return _any(preds)
+        span = col.between(F.lit(self.first), F.lit(self.last))
+        return span if len(self.ranges()) == 1 else span & self._member(col)
+
+    def _member(self, day: Column) -> Column:
+        """``day`` is one of the dates: one flat hash-set test, however many
+        dates there are."""
+        return day.isin(*map(F.lit, self.values))
 
     def time_filter(self, col: Column | str) -> Column:
-        """Closed ``time between d and d+1`` for every run date, merged into
-        one range per stretch of consecutive days. Pushed to the Parquet scan."""
+        """Closed ``time between d and d+1`` for every run date. The range from
+        the first to the last is pushed to the Parquet scan; dates with gaps add
+        a set test of the day (at exactly midnight also of the day before)."""
         if isinstance(col, str):
             key = ("time", col)
             if key not in self._preds:
                 self._preds[key] = self.time_filter(F.col(col))
             return self._preds[key]
-        preds = []
-        for lo, hi in self.ranges():
-            preds.append(col.between(ts_lit(lo), ts_lit(hi + ONE_DAY)))
-        return _any(preds)
+        span = col.between(ts_lit(self.first), ts_lit(self.last + ONE_DAY))
+        if len(self.ranges()) == 1:
+            return span
+        day = F.to_date(col)
+        at_midnight = col == day.cast("timestamp")
+        return span & (self._member(day) | (at_midnight & self._member(F.date_sub(day, 1))))
 
     def partition_filter(self, col: Column | str) -> Column:
         """Predicate on an ``event_date`` partition column: the run dates and
@@ -175,10 +178,3 @@ def ts_lit(value) -> Column:
     else:
         text = f"{_as_date(value).isoformat()} 00:00:00"
     return F.lit(text).cast("timestamp")
-
-
-def _any(preds: list[Column]) -> Column:
-    out = preds[0]
-    for p in preds[1:]:
-        out = out | p
-    return out

@@ -63,9 +63,10 @@ select timestamp '2024-01-17 00:00:00' as time, 5000 as ccu
 """
 
 SERVER_STATUS_SQL = """
-select concat('ServerDesc:',user_id%20) as hashkey, max(cast(ts as timestamp)) as dtmUpdated,
+select concat('ServerDesc:',user_id%20) as hashkey,
+ timestamp '2024-01-16 12:00:00' + interval '1' second * cast(sum(event_id)%400 - 200 as int) as dtmUpdated,
  max_by(cast(regexp_extract(props,'([0-9]+)',1) as int), event_id) as numCCU
-from events where ts < timestamp '2024-01-16 12:00:00' group by user_id%20
+from events group by user_id%20
 """
 
 REPLAY_SQL = """
@@ -84,6 +85,20 @@ select concat('ServerDesc:',user_id%20) as hashkey, cast(ts as timestamp) as dtm
 from events
 """
 
+# Status hashes as the store keeps them: field and text value, with an unknown
+# field, stamps in two forms and values that do not parse.
+STATUS_HASHES_SQL = """
+select concat('ServerDesc:',s) as hashkey, field, value from (
+ select s, 'numCCU' as field, case when s=7 then 'many' else cast(n as string) end as value from servers
+ union all select s, 'dtmUpdated', case when s=3 then 'rubbish'
+   when s%2=0 then '1/16/2024 11:59:58 AM' else '2024-01-16 11:58:00' end from servers
+ union all select s, 'IsActive', case when s%3=0 then 'True' else 'false' end from servers where s<>5
+ union all select s, 'numPort', cast(7000+s as string) from servers
+ union all select s, 'Version', concat('1.',s) from servers
+ union all select s, 'Colour', 'blue' from servers) f
+"""
+SERVERS_SQL = "select user_id%20 as s, count(*) as n from events group by user_id%20"
+
 # Views in dependency order (all read only the driver's base tables).
 VIEWS: dict[str, str] = {
     "gamelogs": GAMELOGS_SQL,
@@ -93,6 +108,8 @@ VIEWS: dict[str, str] = {
     "server_status": SERVER_STATUS_SQL,
     "replay": REPLAY_SQL,
     "server_heartbeats": SERVER_HEARTBEATS_SQL,
+    "servers": SERVERS_SQL,
+    "status_hashes": STATUS_HASHES_SQL,
 }
 
 BASE_TABLES = ("events", "customer", "nation")

@@ -30,6 +30,7 @@ class Inputs:
     server_status: DataFrame | None = None
     replay: DataFrame | None = None
     heartbeats: DataFrame | None = None
+    status_hashes: DataFrame | None = None
 
 
 # Partition layout of the landed fixture tables (the production layout):
@@ -39,20 +40,25 @@ class Inputs:
 PARTITION_BY = {"gamelogs": ("event_date", "time")}
 SORT_BY = {"replay": "dateHour"}
 
-_LANDED: dict[tuple[int, str], Inputs] = {}
+_LANDED: dict[tuple[str, str], Inputs] = {}
 
 
 def fixture_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The fixture views as lazy DataFrames over the driver's Parquet files."""
     for name in BASE_TABLES:
         spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").createOrReplaceTempView(name)
-    return {name: spark.sql(sql) for name, sql in VIEWS.items()}
+    frames = {}
+    for name, sql in VIEWS.items():
+        frames[name] = spark.sql(sql)
+        frames[name].createOrReplaceTempView(name)
+    return frames
 
 
 def fixture_inputs(spark: SparkSession, sf_dir: str, land: bool = True) -> Inputs:
-    """Inputs built from the driver's tables under ``sf_dir``.
+    """Inputs built from the driver's tables under ``sf_dir``: lazy views of
+    the given files without ``land`` (the registered queries).
 
-    With ``land`` (default) each fixture view is computed once per process
+    With ``land`` (an explicit landing job) each fixture view is computed once per process
     and written as a Parquet table under the session's checkpoint folder
     (a shared folder on a cluster), ``gamelogs`` partitioned by
     ``event_date`` as the production log is; queries then read those
@@ -61,20 +67,24 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, land: bool = True) -> Input
     """
     if not land:
         return _as_inputs(fixture_views(spark, sf_dir))
-    key = (id(spark.sparkContext), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _LANDED:
         root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fixtures-{uuid.uuid4().hex[:12]}"
         frames = {}
         for name, df in fixture_views(spark, sf_dir).items():
+            if name in ("servers", "status_hashes"):
+                frames[name] = df
+                continue
             path = f"{root}/{name}"
             part = PARTITION_BY.get(name)
             writer = df
             if part and part[1]:
                 writer = df.withColumn(part[0], F.to_date(part[1]))
             if part:
-                # one file per day folder, rows clustered by command so a
-                # roll-up's ``command IN (...)`` skips other row groups
-                writer = writer.repartition(part[0]).sortWithinPartitions("command", "time")
+                # Rows of a day lie together, clustered by command so a roll-up's
+                # ``command IN (...)`` skips other row groups; a day too large for
+                # one task is split over several tasks and files.
+                writer = writer.hint("rebalance", part[0]).sortWithinPartitions("command", "time")
             elif name in SORT_BY:
                 writer = writer.repartitionByRange(SORT_BY[name]).sortWithinPartitions(SORT_BY[name])
             w = writer.write.mode("overwrite")
@@ -99,6 +109,7 @@ def _as_inputs(frames: dict[str, DataFrame]) -> Inputs:
         server_status=frames["server_status"],
         replay=frames["replay"],
         heartbeats=frames.get("server_heartbeats"),
+        status_hashes=frames.get("status_hashes"),
     )
 
 
@@ -108,10 +119,10 @@ def read_table_inputs(spark: SparkSession, root: str) -> Inputs:
     root = root.rstrip("/")
 
     def opt(name):
-        try:
-            return spark.read.parquet(f"{root}/{name}")
-        except Exception:  # table not present in this deployment
-            return None
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+        # Only a missing folder is an absent table; a failing read is an error.
+        return spark.read.parquet(f"{root}/{name}") if there else None
 
     return Inputs(
         gamelogs=spark.read.parquet(f"{root}/gamelogs"),
