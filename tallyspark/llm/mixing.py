@@ -4,8 +4,9 @@ Every document has a size in words. Sources get integer numbers of
 equal-token blocks by highest quotients ``target / (2k + 1)``; the seats are
 dealt shard by shard, so each shard gets its own integer quotas. Within a
 source the documents are laid out in a seeded order (md5 of seed and id); the
-source's word line is cut into blocks, and its quota is filled by whole passes
-over the line plus one seeded circular run of blocks.
+source's word line is cut into blocks, and its quota of blocks is filled by
+whole passes over the line plus one circular run from a seeded block on (the
+last block of a line may be short, so the quota is counted in words there).
 
 Defined results: null text has size 0 and is taken 0 times; a null source is a
 source of its own, ordered last; a source without words has target 0; repeated
@@ -112,12 +113,12 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, block: int = BLOCK, shards: i
     of_source = targets.join(quota, "place", "left").withColumn("blocks", F.ceil(F.col("source_size") / block))
     of_source = of_source.select(
         F.col("source").alias("s"), "source_size", "target", "blocks",
-        F.least(F.coalesce("quota", F.lit(0)), F.col("blocks") * max_epochs).alias("quota"))
+        F.least(F.coalesce("quota", F.lit(0)) * block, F.col("source_size") * max_epochs).alias("words"))
     # The circular run starts at a seeded block of the source.
     start = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:start:"), F.coalesce("s", F.lit("")))), 1, 12), 16, 10).cast("long")
-    of_source = (of_source.withColumn("passes", F.expr("case when blocks > 0 then quota div blocks else 0L end"))
-                 .withColumn("extra", F.col("quota") - F.col("passes") * F.col("blocks"))
-                 .withColumn("first", F.when(F.col("blocks") > 0, start % F.greatest(F.col("blocks"), F.lit(1))).otherwise(0)))
+    of_source = (of_source.withColumn("passes", F.expr("case when source_size > 0 then words div source_size else 0L end"))
+                 .withColumn("extra", F.col("words") - F.col("passes") * F.col("source_size"))
+                 .withColumn("first", F.when(F.col("blocks") > 0, start % F.greatest(F.col("blocks"), F.lit(1)) * block).otherwise(0)))
 
     digits = _hex_digits(sized.count())
     sized = sized.withColumn("bucket", F.substring("key", 1, digits))
@@ -130,16 +131,16 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, block: int = BLOCK, shards: i
     placed = sized.withColumn("inner_at", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = (placed.join(bases, placed["source"].eqNullSafe(bases["s"]) & (placed["bucket"] == bases["b"]))
               .withColumn("at", F.col("base") + F.col("inner_at")))
-    return _taken(placed, block)
+    return _taken(placed)
 
 
-def _taken(placed: DataFrame, block: int) -> DataFrame:
-    """Words of each document inside the source's circular run of blocks."""
+def _taken(placed: DataFrame) -> DataFrame:
+    """Words of each document inside the source's circular run."""
     at, end, n = F.col("at"), F.col("at") + F.col("size"), F.col("source_size")
-    run = (F.col("first") + F.col("extra")) * block
-    wraps = F.col("first") + F.col("extra") > F.col("blocks")
-    one = (F.greatest(at, F.col("first") * block), F.least(end, run, n))
-    two = (at, F.least(end, (F.col("first") + F.col("extra") - F.col("blocks")) * block))
+    run = F.col("first") + F.col("extra")
+    wraps = run > n
+    one = (F.greatest(at, F.col("first")), F.least(end, run, n))
+    two = (at, F.least(end, run - n))
     cut = lambda x: F.struct((x[0] - at).alias("from"), (x[1] - at).alias("to"))
     cuts = F.filter(F.array(F.when(wraps, cut(two)), cut(one)), lambda c: c.isNotNull() & (c["to"] > c["from"]))
     placed = placed.withColumn("cuts", cuts)
@@ -199,19 +200,19 @@ seats as (
 quotas as (select place, count(*) as quota from seats where r <= m group by place),
 runs as (
   select t.*, ceil(source_size / {BLOCK})::bigint as blocks,
-         least(coalesce(quota, 0), ceil(source_size / {BLOCK})::bigint * {MAX_EPOCHS}) as q,
+         least(coalesce(quota, 0) * {BLOCK}, source_size * {MAX_EPOCHS}) as q,
          ('0x' || substr(md5('{SEED}:start:' || coalesce(source, '')), 1, 12))::bigint as start
   from targets t left join quotas using (place)),
 placed as (
   select s.doc_id, s.size, r.source_size, r.target, r.blocks,
-         case when r.blocks > 0 then r.q // r.blocks else 0 end as passes,
-         case when r.blocks > 0 then r.q % r.blocks else 0 end as extra,
-         case when r.blocks > 0 then r.start % r.blocks else 0 end as head,
+         case when r.blocks > 0 then r.q // r.source_size else 0 end as passes,
+         case when r.blocks > 0 then r.q % r.source_size else 0 end as extra,
+         case when r.blocks > 0 then r.start % r.blocks * {BLOCK} else 0 end as head,
          coalesce(sum(s.size) over (partition by s.source order by s.key, s.doc_id, s.size rows between unbounded preceding and 1 preceding), 0) as pos
   from sized s join runs r on s.source is not distinct from r.source)
 select doc_id, size, source_size, target,
        (size * passes
-        + greatest(least(pos + size, (head + extra) * {BLOCK}, source_size) - greatest(pos, head * {BLOCK}), 0)
-        + greatest(least(pos + size, (head + extra - blocks) * {BLOCK}) - pos, 0))::bigint as taken
+        + greatest(least(pos + size, head + extra, source_size) - greatest(pos, head), 0)
+        + greatest(least(pos + size, head + extra - source_size) - pos, 0))::bigint as taken
 from placed
 """
