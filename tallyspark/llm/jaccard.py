@@ -19,6 +19,8 @@ k shared ones.
    own) with the others. Verified links give components; only signatures whose
    nodes are then still in several components give further pairs, those across
    components. No link is lost: a pair within one component changes nothing.
+   A pair is left out where a node has too few tokens that others hold for a
+   link of these two sizes.
 5. Components by alternating large and small stars.
 
 Nothing is quadratic in the copies of a text or in a near-copy group round one
@@ -150,13 +152,17 @@ def _classes(band: Column, percent: int) -> Column:
 
 
 def signatures(held: DataFrame, percent: int) -> DataFrame:
-    """(sig, node, own): the index. ``held``: (node, n, own, shared) with
+    """(sig, node, n, own): the index; own is the number of the node's tokens
+    that no partner under this signature shares with it (a partner that shares
+    a rarer token is met under that one's signature). ``held``: (node, n, own, shared) with
     shared the sorted structs (df, token) of tokens that others hold too."""
     h = held.withColumn("plain", F.col("n") - F.expr(f"(n * {percent} + 99) div 100") + 1)
     h = h.withColumn("band", _bands(F.col("n"), percent))
     # Tokens of the node alone come first in the order and take up the prefix.
     room = F.greatest(F.col("plain") - F.col("own"), F.lit(0)).cast("int")
-    rare = F.transform(F.filter(F.slice("shared", 1, room), lambda t: t["df"] <= RARE), lambda t: t["token"])
+    rare = F.filter(F.transform(F.slice("shared", 1, room), lambda t, i: F.struct(
+        F.when(t["df"] <= RARE, t["token"]).alias("sig"), (F.col("own") + i).cast("long").alias("own"))), lambda r: r["sig"].isNotNull())
+    light = (F.col("own") + F.size(F.filter("shared", lambda t: t["df"] <= RARE))).cast("long")
 
     def combinations(band: Column) -> Column:
         classes = _classes(band, percent)
@@ -164,11 +170,18 @@ def signatures(held: DataFrame, percent: int) -> DataFrame:
         frequent = F.transform(F.filter(F.slice("shared", 1, extended), lambda t: t["df"] > RARE), lambda t: t["token"])
         return F.flatten(F.transform(frequent, lambda a: F.transform(
             F.filter(frequent, lambda b: (b > a) & (F.pmod(F.shiftright(a, 7), classes) == F.pmod(F.shiftright(b, 7), classes))),
-            lambda b: F.xxhash64(band, a, b))))
+            lambda b: F.struct(F.xxhash64(band, a, b).alias("sig"), F.col("light").alias("own")))))
 
-    both = F.concat(combinations(F.col("band")), combinations(F.col("band") + 1))
-    sigs = F.array_distinct(F.concat(rare, both))
-    return h.select("node", "own", F.explode_outer(sigs).alias("sig")).where("sig is not null")
+    h = h.withColumn("light", light)
+    sigs = F.concat(rare, combinations(F.col("band")), combinations(F.col("band") + 1))
+    return h.select("node", "n", F.explode_outer(sigs).alias("s")).where("s is not null").select("s.sig", "node", "n", "s.own")
+
+
+def _enough(n: Column, own: Column, other: Column, percent: int) -> Column:
+    """Whether a node's tokens that others hold suffice for a link with a node
+    of size ``other``: the shared ones must be percent / (100 + percent) of
+    both sizes."""
+    return (n - own) * (100 + percent) >= (n + other) * percent
 
 
 def _verified(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
@@ -228,17 +241,24 @@ def links(docs: DataFrame, reps: DataFrame, width: int, percent: int, shingles:
     held = held.withColumn("own", F.col("n") - F.size("shared")).where(F.expr(f"size(shared) * 100 >= n * {percent}"))
     held = stash(held.select("node", "n", "own", "shared"), "jaccard-held")
 
-    index = stash(signatures(held, percent), "jaccard-index")
-    centre = index.groupBy("sig").agg(F.min(F.struct("own", "node"))["node"].alias("a"), F.count("*").alias("size")).where("size > 1")
-    stars = index.join(centre, "sig").where("node <> a").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    # Rows of a signature that suffice for no node of it, not even its smallest, go before pairs are made.
+    index = signatures(held, percent)
+    least = index.groupBy("sig").agg(F.min("n").alias("least_n"), F.count("*").alias("size")).where("size > 1").select("sig", "least_n")
+    index = index.join(least, "sig").where(_enough(F.col("n"), F.col("own"), F.col("least_n"), percent))
+    index = stash(index.select("sig", "node", "n", "own"), "jaccard-index")
+    centre = index.groupBy("sig").agg(F.min(F.struct("own", "node", "n")).alias("c"), F.count("*").alias("size")).where("size > 1")
+    centre = centre.select("sig", F.col("c.node").alias("a"), F.col("c.n").alias("a_n"), F.col("c.own").alias("a_own"))
+    both = (F.col("node") != F.col("a")) & _enough(F.col("n"), F.col("own"), F.col("a_n"), percent) & _enough(F.col("a_n"), F.col("a_own"), F.col("n"), percent)
+    stars = index.join(centre, "sig").where(both).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
     first = stash(_verified(stars, held, percent), "jaccard-links")
     roots = components(first)
 
-    placed = index.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
+    placed = index.join(roots, "node", "left").select("sig", "node", "n", "own", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("sig")
     open_ = placed.join(mixed, "sig")
-    x, y = (open_.select("sig", F.col("node").alias(n), F.col("root").alias(f"{n}_root")) for n in "ab")
-    across = x.join(y, "sig").where("a_root < b_root").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    x, y = (open_.select("sig", *[F.col(c).alias(f"{n}_{c}") for c in ("node", "root", "n", "own")]) for n in "ab")
+    both = (F.col("a_root") < F.col("b_root")) & _enough(F.col("a_n"), F.col("a_own"), F.col("b_n"), percent) & _enough(F.col("b_n"), F.col("b_own"), F.col("a_n"), percent)
+    across = x.join(y, "sig").where(both).withColumnsRenamed({"a_node": "a", "b_node": "b"}).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     across = across.join(stars, ["a", "b"], "left_anti")
     return first.unionByName(_verified(across, held, percent))
 
