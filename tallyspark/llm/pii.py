@@ -45,21 +45,30 @@ _ENDINGS = {"f": {"latin": "na la ra ia".split(), "cyrillic": "на ла ра и
 _ANY_TITLE = "|".join(t for group in TITLES.values() for t in group)
 _ANY_FIRST = "|".join(n.capitalize() for group in FIRST_NAMES.values() for n in group)
 _NAME = r"\p{Lu}\p{Ll}+"
-#: Type, pattern, in order of precedence. What a pattern looks back at is not replaced.
-PATTERNS = (
-    ("email", r"(?<![\w.%+-])[\w.%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"),
-    ("secret", r"\b(?:AKIA[0-9A-Z]{16}|sk-[A-Za-z0-9]{20,}|gh[pousr]_[A-Za-z0-9]{20,})\b"),
-    ("secret", r"(?<=\b(?:password|passwd|token|secret|api_key|apikey)\s{0,2}[=:]\s{0,2}\"?)[^\s\"]{6,}"),
-    ("secret", r"\b(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{32,64}\b"),
-    ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"),
-    ("ip", r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]?\d)"),
-    ("phone", r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4}){2,5}(?!\w)"),
-    ("phone", r"(?<![\w.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])"),
-    ("number", r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])"),
-    ("card", r"(?<![\w.-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])"),
-    ("name", rf"(?<!\w)(?:(?:{_ANY_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_ANY_FIRST}) {_NAME})(?!\w)"),
+#: What introduces a secret; it stays.
+_LABEL = r"(?:password|passwd|token|secret|api_key|apikey)[ \t]{0,2}[=:][ \t]{0,2}\"?"
+#: Patterns by what they begin with, in order of precedence: every match begins a word, so that inside words one
+#: look back is all that is tried.
+_BY_DIGIT = (
+    r"(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]?\d)",      # IP
+    r"\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4}){2,5}(?!\w)",                              # phone
+    r"(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])",                                     # phone
+    r"\d{3}-\d{2}-\d{4}(?![\w-])",                                                           # number
+    r"\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])",                                           # card
 )
-_ALL = "|".join(f"(?:{p})" for _, p in PATTERNS)
+_BY_CAPITAL = (
+    r"AKIA[0-9A-Z]{16}(?!\w)",                                                                # secret
+    r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",                         # IBAN
+    rf"(?:(?:{_ANY_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_ANY_FIRST}) {_NAME})(?!\w)",           # name
+)
+_BY_ANY = (
+    r"[\w.%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",                                           # e-mail
+    r"(?=sk-|gh[pousr]_)(?:sk-|gh._)[A-Za-z0-9]{20,}(?!\w)",                                  # secret
+    r"[0-9a-f]{32,64}+(?!\w)",                                                                # secret
+)
+_LOWER_TITLES = "|".join(f"{t} {_NAME}" for t in ("г-н", "г-жа"))
+_ALL = (r"(?<![\p{L}\p{N}_.%+-])(?:(?=[\d+(])(?:" + "|".join(_BY_DIGIT) + r")|(?=\p{Lu})(?:" + "|".join(_BY_CAPITAL)
+        + rf")|(?=[past]){_LABEL}[^\s\"]{{6,}}|" + "|".join(_BY_ANY) + rf"|(?=г-)(?:{_LOWER_TITLES}))")
 _DIGITS = ("phone", "number", "card")
 
 
@@ -69,7 +78,7 @@ def mentions(text: Column) -> Column:
 
 def kind_of(mention: Column) -> Column:
     """A mention's type by its own form."""
-    return (F.when(F.contains(mention, F.lit("@")), "email").when(mention.rlike(r"^[A-Z]{2}\d{2}[ A-Z0-9]*$") & ~mention.startswith("AKIA"), "iban")
+    return (F.when(mention.rlike(f"^{_LABEL}"), "secret").when(F.contains(mention, F.lit("@")), "email").when(mention.rlike(r"^[A-Z]{2}\d{2}[ A-Z0-9]*$") & ~mention.startswith("AKIA"), "iban")
             .when(mention.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), "ip").when(mention.rlike(r"^\d{3}-\d{2}-\d{4}$"), "number")
             .when(mention.rlike(r"^(\+|\(\d{3}\)|\d{3}[.-]\d{3}[.-])[\d ().-]*$"), "phone").when(mention.rlike(r"^\d[\d -]*$"), "card")
             .when(mention.rlike(rf"^(?:(?:{_ANY_TITLE})\.? )?{_NAME}(?: {_NAME})?$"), "name").otherwise("secret"))
@@ -91,7 +100,8 @@ def entities(mention: Column, kind: Column) -> Column:
     """The mention's entities: array of struct(type, value)."""
     words = _name_words(mention)
     entity = lambda t, v: F.struct(t.alias("type"), F.lower(v).alias("value"))
-    value = F.when(kind.isin(*_DIGITS), F.regexp_replace(mention, r"\D", "")).when(kind == "iban", F.replace(mention, F.lit(" "), F.lit(""))).otherwise(mention)
+    value = F.when(kind.isin(*_DIGITS), F.regexp_replace(mention, r"\D", "")).when(kind == "iban", F.replace(mention, F.lit(" "), F.lit(""))).when(
+        kind == "secret", F.regexp_replace(mention, f"^{_LABEL}", "")).otherwise(mention)
     # A secret's case is part of it.
     other = F.struct(kind.alias("type"), F.when(kind == "email", F.lower(value)).otherwise(value).alias("value"))
     return F.when(kind != "name", F.array(other)).when(
@@ -177,7 +187,8 @@ def lay_out(mention: Column, kind: Column, values: Column) -> Column:
         F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at"))), lambda s: s["out"])
     title = F.regexp_extract(mention, rf"^((?:{_ANY_TITLE})\.? )", 1)
     named = F.concat(title, F.array_join(F.transform(values, lambda v: F.initcap(v)), " "))
-    return F.when(kind.isin(*_DIGITS), fill("[0-9]")).when(kind == "iban", fill("[A-Z0-9]")).when(kind == "name", named).otherwise(F.get(values, 0))
+    return F.when(kind.isin(*_DIGITS), fill("[0-9]")).when(kind == "iban", fill("[A-Z0-9]")).when(kind == "name", named).otherwise(
+        F.concat(F.regexp_extract(mention, f"^({_LABEL})?", 0), F.get(values, 0)))
 
 
 def detect(docs: DataFrame) -> DataFrame:
