@@ -92,16 +92,14 @@ def basic_daily_country(account_daily_df: DataFrame, footprint: DataFrame, stati
            .agg(F.count(F.lit(1)).alias("nru")))
     rev = revenue_df.where(dates.date_filter("date")).select("date", "country", "pu", "revenue")
 
-    aa, bb, cc = active.alias("aa"), new.alias("bb"), rev.alias("cc")
-    both = aa.join(bb, (F.col("aa.date") == F.col("bb.date")) & (F.col("aa.country") == F.col("bb.country")),
-                   "full")
-    full = both.join(cc, (F.col("aa.date") == F.col("cc.date")) & (F.col("aa.country") == F.col("cc.country")),
-                     "left")
+    active, new, paid = active.alias("active"), new.alias("new"), rev.alias("paid")
+    same = lambda a, b: (F.col(f"{a}.date") == F.col(f"{b}.date")) & (F.col(f"{a}.country") == F.col(f"{b}.country"))
+    full = active.join(new, same("active", "new"), "full").join(paid, same("active", "paid"), "left")
     return full.select(
-        F.coalesce("aa.date", "bb.date").alias("date"),
-        F.coalesce("aa.country", "bb.country").alias("country"),
-        F.coalesce("bb.nru", _zero()).alias("nru"),
-        F.coalesce("aa.dau", _zero()).alias("dau"),
-        F.coalesce("aa.dau_p", _zero()).alias("dau_p"),
-        F.coalesce("cc.pu", _zero()).alias("dpu"),
-        F.coalesce("cc.revenue", _zero()).alias("revenue"))
+        F.coalesce("active.date", "new.date").alias("date"),
+        F.coalesce("active.country", "new.country").alias("country"),
+        F.coalesce("new.nru", _zero()).alias("nru"),
+        F.coalesce("active.dau", _zero()).alias("dau"),
+        F.coalesce("active.dau_p", _zero()).alias("dau_p"),
+        F.coalesce("paid.pu", _zero()).alias("dpu"),
+        F.coalesce("paid.revenue", _zero()).alias("revenue"))
