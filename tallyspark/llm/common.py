@@ -33,5 +33,15 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unstash(df: DataFrame) -> None:
+    """Delete the files of a table that ``stash`` wrote, once all that was
+    made from it is written itself."""
+    files = df.inputFiles()
+    if files:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import stash, unstash
 from .textcodes import chunks, mix, shingle_sets
 
 #: Tokens held by more nodes than this are indexed as combinations.
@@ -138,7 +138,9 @@ def survivors(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFr
     dealt = stash(docs.select("text").mapInPandas(emit, "bucket int, tokens binary, nodes binary"), "jaccard-prefixes")
     met = dealt.where("bucket >= 0").groupBy("bucket").applyInPandas(count, "node long, held long")
     own = dealt.where("bucket < 0").mapInPandas(unpack, "node long, held long")
-    return met.unionByName(own).groupBy("node").agg(F.sum("held").alias("held"))
+    able = stash(met.unionByName(own).groupBy("node").agg(F.sum("held").alias("held")), "jaccard-able")
+    unstash(dealt)
+    return able
 
 
 def _bands(n: Column, percent: int) -> Column:
@@ -207,7 +209,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         met = large.join(least, "u")
         small = met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        now = stash(small, "components")
+        old, now = now, stash(small, "components")
+        unstash(old)
         seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if seen == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -240,6 +243,7 @@ def links(docs: DataFrame, reps: DataFrame, width: int, percent: int, shingles:
     held = rows.join(df, "token").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"))
     held = held.withColumn("own", F.col("n") - F.size("shared")).where(F.expr(f"size(shared) * 100 >= n * {percent}"))
     held = stash(held.select("node", "n", "own", "shared"), "jaccard-held")
+    unstash(full)
 
     # Rows of a signature that suffice for no node of it, not even its smallest, go before pairs are made.
     index = signatures(held, percent)
@@ -260,7 +264,10 @@ def links(docs: DataFrame, reps: DataFrame, width: int, percent: int, shingles:
     both = (F.col("a_root") < F.col("b_root")) & _enough(F.col("a_n"), F.col("a_own"), F.col("b_n"), percent) & _enough(F.col("b_n"), F.col("b_own"), F.col("a_n"), percent)
     across = x.join(y, "sig").where(both).withColumnsRenamed({"a_node": "a", "b_node": "b"}).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     across = across.join(stars, ["a", "b"], "left_anti")
-    return first.unionByName(_verified(across, held, percent))
+    more = stash(_verified(across, held, percent), "jaccard-links")
+    unstash(index)
+    unstash(held)
+    return first.unionByName(more)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -268,8 +275,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     named = stash(document_nodes(docs, width), "jaccard-nodes")
     reps = named.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"))
     total = named.agg(F.sum("n_shingles")).first()[0] or 0
-    found = stash(links(docs, reps, width, percent, total), "jaccard-links")
-    roots = components(found)
+    roots = components(links(docs, reps, width, percent, total))
     grouped = reps.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_node = grouped.join(names, "root").select(F.col("node").alias("of"), F.col("component_id").alias("found_id"))
