@@ -45,7 +45,7 @@ LEVELS = 40
 HASHES, BITS_PER_KEY = 5, 10
 #: Least count of a stored word and of a stored pair.
 LEAST = {0: 1, 1: 2}
-TOP = 1 << 20
+TOP = 1 << 19
 BUCKET_BYTES = 16 << 20
 #: Words that a task holds at once.
 BLOCK_WORDS = 2_000_000
@@ -178,14 +178,29 @@ class Model:
         self.types, self.tokens = total[0] or 0, total[1] or 0
         ranks = self.words.select(F.posexplode("at_least").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).collect()  # 64 rows
         self.least = min((_threshold(r["i"]) for r in ranks if r["n"] <= TOP), default=1)
-        top = self.counts().where(F.col("count") >= self.least).toPandas()  # at most TOP rows
-        order = np.argsort(top["code"].to_numpy(np.int64).view(np.uint64))
         context = docs.sparkSession.sparkContext
-        self.top = context.broadcast((top["code"].to_numpy(np.int64).view(np.uint64)[order], top["count"].to_numpy(np.int64)[order]))
+        self.top = context.broadcast(self._frequent())
         # One segment at a time passes through the driver.
         self.segments = [((r["kind"], r["bucket"], r["size"]), context.broadcast(bytes(r["bits"])))
                          for r in segments.select("kind", "bucket", "size", "bits").toLocalIterator()]
 
+    def _frequent(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted codes, and counts, of the at most TOP words of count ``least`` or more."""
+        least = self.least
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for codes, counts in zip(pdf["codes"], pdf["counts"]):
+                    codes, counts = np.frombuffer(codes, np.uint64), np.frombuffer(counts, np.int64)
+                    keep = counts >= least
+                    yield pd.DataFrame({"codes": [codes[keep].tobytes()], "counts": [counts[keep].tobytes()]})
+
+        rows = self.words.select("codes", "counts").mapInPandas(run, "codes binary, counts binary").collect()
+        codes = np.frombuffer(b"".join(r["codes"] for r in rows), np.uint64)
+        counts = np.frombuffer(b"".join(r["counts"] for r in rows), np.int64)
+        order = np.argsort(codes)
+        return codes[order], counts[order]
+
     def counts(self) -> DataFrame:
         """(code, count) of every training word."""
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
