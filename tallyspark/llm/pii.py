@@ -46,29 +46,27 @@ _ANY_TITLE = "|".join(t for group in TITLES.values() for t in group)
 _ANY_FIRST = "|".join(n.capitalize() for group in FIRST_NAMES.values() for n in group)
 _NAME = r"\p{Lu}\p{Ll}+"
 #: What introduces a secret; it stays.
-_LABEL = r"(?:password|passwd|token|secret|api_key|apikey)[ \t]{0,2}[=:][ \t]{0,2}\"?"
-#: Patterns by what they begin with, in order of precedence: every match begins a word, so that inside words one
-#: look back is all that is tried.
+_LABEL = r"(?:password|passwd|token|secret|api_key|apikey)\s{0,2}[=:]\s{0,2}\"?"
+_EMAIL = r"[\w.%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+_IP = r"(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]?\d)"
+#: Patterns by what they begin with, in order of precedence, each with its own look back. Only an IP may begin behind
+#: an ASCII word character, so that inside words nothing else is tried; the others look back at what they exclude beyond.
 _BY_DIGIT = (
-    r"(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]?\d)",      # IP
-    r"\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4}){2,5}(?!\w)",                              # phone
-    r"(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])",                                     # phone
-    r"\d{3}-\d{2}-\d{4}(?![\w-])",                                                           # number
-    r"\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])",                                           # card
+    rf"(?<!\.){_IP}",
+    r"(?<!\+)\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4}){2,5}(?!\w)",                       # phone
+    r"(?<![.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])",                            # phone
+    r"(?<![.-])\d{3}-\d{2}-\d{4}(?![\w-])",                                                  # number
+    r"(?<![.-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])",                                  # card
 )
 _BY_CAPITAL = (
     r"AKIA[0-9A-Z]{16}(?!\w)",                                                                # secret
     r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",                         # IBAN
     rf"(?:(?:{_ANY_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_ANY_FIRST}) {_NAME})(?!\w)",           # name
 )
-_BY_ANY = (
-    r"[\w.%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",                                           # e-mail
-    r"(?=sk-|gh[pousr]_)(?:sk-|gh._)[A-Za-z0-9]{20,}(?!\w)",                                  # secret
-    r"[0-9a-f]{32,64}+(?!\w)",                                                                # secret
-)
-_LOWER_TITLES = "|".join(f"{t} {_NAME}" for t in ("г-н", "г-жа"))
-_ALL = (r"(?<![\p{L}\p{N}_.%+-])(?:(?=[\d+(])(?:" + "|".join(_BY_DIGIT) + r")|(?=\p{Lu})(?:" + "|".join(_BY_CAPITAL)
-        + rf")|(?=[past]){_LABEL}[^\s\"]{{6,}}|" + "|".join(_BY_ANY) + rf"|(?=г-)(?:{_LOWER_TITLES}))")
+_LOWER_TITLES = "|".join(rf"{t}\.? {_NAME}(?: {_NAME})?(?!\w)" for t in ("г-н", "г-жа"))
+_ALL = (rf"(?<!\w)(?:(?<![.%+-]){_EMAIL}|(?=[past]){_LABEL}[^\s\"]{{6,}}|(?=sk-|gh[pousr]_)(?:sk-|gh._)[A-Za-z0-9]{{20,}}(?!\w)"
+        r"|[0-9a-f]{32,64}+(?!\w)|(?=[\d+(])(?:" + "|".join(_BY_DIGIT) + r")|(?=\p{Lu})(?:" + "|".join(_BY_CAPITAL)
+        + rf")|(?=г-)(?:{_LOWER_TITLES}))|(?=\d)(?<=[A-Za-z_]){_IP}")
 _DIGITS = ("phone", "number", "card")
 
 
