@@ -7,9 +7,13 @@ every ``STRIDE``-th and the last of an item) are joined by hash. Where windows
 of an item and a document meet on the same diagonal, the slots' values must be
 consistent: one value of the item always stands for one value in the document.
 A document is contaminated by an item when the windows of consistent diagonals
-cover at least ``COVERAGE`` of the item's, at least two if it has two.
+cover at least ``COVERAGE`` of the item's, at least two if it has two, or when
+one consistent diagonal covers ``RUN_WORDS`` words in a row.
 
-Names are capitalised words inside a sentence. Items shorter than a window are
+Templates have two readings, and windows meet within one: names are the
+capitalised words inside a sentence (0), or all capitalised words (1), so that
+a sentence's first word meets its copy behind a colon, a heading or a list
+mark, and may be a new name. Consistency is that of one reading. Items shorter than a window are
 matched as a whole; items of fewer than ``LEAST_WORDS`` words match nothing.
 
 Defined results: null and empty texts match nothing; repeated documents and
@@ -25,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import stash
 
-WINDOW, STRIDE, COVERAGE, LEAST_WORDS = 6, 3, 0.5, 4
+WINDOW, STRIDE, COVERAGE, LEAST_WORDS, RUN_WORDS = 6, 3, 0.5, 4, 24
 #: Item windows up to which they are broadcast (some 200 bytes each); more are joined by shuffle.
 BROADCAST_WINDOWS = 100_000
 
@@ -71,16 +75,30 @@ def template_words(text: Column) -> Column:
     return _cut(F.regexp_replace(canon, _closed_list(UNITS), UNIT))
 
 
+def cased_words(text: Column) -> Column:
+    """``raw_words`` with their capitals."""
+    return _cut(F.translate(_marked(text), _STOP, ""))
+
+
+def _all_named(canon: Column, cased: Column) -> Column:
+    """Reading 1 of the template words."""
+    return F.zip_with(canon, cased, lambda a, c: F.when(c.rlike(r"^\p{Lu}\p{Ll}"), NAME).otherwise(a))
+
+
 def item_windows(items: DataFrame) -> DataFrame:
-    """(item_id, length, windows, item_at, hash, item_raw): an item's joined
-    windows and their number."""
-    t = items.select("item_id", template_words(F.col("text")).alias("canon"), raw_words(F.col("text")).alias("raw"))
+    """(item_id, length, windows, item_at, hash, item_readings, item_raw): an
+    item's joined windows in their readings, and their number."""
+    t = items.select("item_id", template_words(F.col("text")).alias("canon"), cased_words(F.col("text")).alias("cased"), raw_words(F.col("text")).alias("raw"))
+    t = t.withColumn("named", _all_named(F.col("canon"), F.col("cased")))
     t = t.withColumn("n", F.size("canon")).where(F.col("n") >= LEAST_WORDS)
     t = t.withColumn("length", F.least(F.col("n"), F.lit(WINDOW)))
     last = F.col("n") - F.col("length") + 1
     t = t.withColumn("starts", F.array_distinct(F.concat(F.sequence(F.lit(1), last, F.lit(STRIDE)), F.array(last))))
     t = t.select("*", F.size("starts").alias("windows"), F.explode("starts").alias("item_at"))
-    return t.select("item_id", "length", "windows", "item_at", F.xxhash64(F.slice("canon", F.col("item_at"), F.col("length"))).alias("hash"),
+    plain, named = (F.slice(c, F.col("item_at"), F.col("length")) for c in ("canon", "named"))
+    reading = lambda words, *of: F.struct(words.alias("words"), F.array(*map(F.lit, of)).alias("of"))
+    t = t.withColumn("reading", F.explode(F.when(plain == named, F.array(reading(plain, 0, 1))).otherwise(F.array(reading(plain, 0), reading(named, 1)))))
+    return t.select("item_id", "length", "windows", "item_at", F.xxhash64("reading.words").alias("hash"), F.col("reading.of").alias("item_readings"),
                     F.slice("raw", F.col("item_at"), F.col("length")).alias("item_raw"))
 
 
@@ -104,31 +122,54 @@ def _among(hash: Column, bits: np.ndarray) -> Column:
 
 
 def document_windows(docs: DataFrame, lengths: list, hashes: list | None) -> DataFrame:
-    """(doc_id, at, hash, canon, raw) of the windows of the given lengths at
-    every position; with ``hashes`` only those whose hash may be among them
+    """(doc_id, at, hash, readings, canon, raw) of the windows of the given
+    lengths at every position, in both readings where they differ; with ``hashes`` only those whose hash may be among them
     (a bit test, so that the others make no rows)."""
     bits = None if hashes is None else _hash_bits(hashes)
 
-    def starts_of(length: int) -> Column:
-        starts = F.when(F.col("n") >= length, F.sequence(F.lit(1), F.col("n") - length + 1)).otherwise(F.array().cast("array<int>"))
+    def starts_of(length: int, reading: int) -> Column:
+        last = F.col("n") - length + 1
+        if reading == 0:
+            starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+        else:  # only windows that hold a word which the readings differ in
+            near = F.transform("odd", lambda p: F.sequence(F.greatest(p - length + 1, F.lit(1)), F.least(p, last)))
+            starts = F.when(last >= 1, F.array_distinct(F.flatten(near))).otherwise(F.array().cast("array<int>"))
         if bits is not None:
-            starts = F.filter(starts, lambda s: _among(F.xxhash64(F.slice("canon", s, length)), bits))
-        return F.transform(starts, lambda s: F.struct(s.alias("at"), F.lit(length).alias("length")))
+            starts = F.filter(starts, lambda s: _among(F.xxhash64(F.slice("named" if reading else "canon", s, length)), bits))
+        return F.transform(starts, lambda s: F.struct(s.alias("at"), F.lit(length).alias("length"), F.lit(reading).alias("reading")))
 
     # What a lambda reads again and again is a column used twice, so that it is worked out once a row. For the
     # same reason no filter stands on these columns (it would be pushed below them, words and all): the outer
     # explode gives a null row instead.
-    t = docs.select("doc_id", "text", template_words(F.col("text")).alias("canon"))
-    t = t.select("doc_id", "text", "canon", F.size("canon").alias("n"))
-    t = t.select("doc_id", "text", "canon", F.concat(*map(starts_of, lengths)).alias("starts"))
-    t = t.select("doc_id", "canon", "starts", F.when(F.size("starts") > 0, raw_words(F.col("text"))).alias("raw"))
-    window = F.transform("starts", lambda s: F.struct(
-        s["at"].alias("at"), F.xxhash64(F.slice("canon", s["at"], s["length"])).alias("hash"),
-        F.slice("canon", s["at"], s["length"]).alias("canon"), F.slice("raw", s["at"], s["length"]).alias("raw")))
-    t = t.select("doc_id", F.when(F.size("raw") > 0, window).alias("windows"))
+    t = docs.select("doc_id", "text", template_words(F.col("text")).alias("canon"), cased_words(F.col("text")).alias("cased"))
+    t = t.select("doc_id", "text", "canon", F.size("canon").alias("n"), _all_named(F.col("canon"), F.col("cased")).alias("named"))
+    places = F.zip_with("canon", "named", lambda a, b: a != b)
+    odd = F.filter(F.transform(places, lambda x, i: F.when(x, i + 1)), lambda i: i.isNotNull())
+    t = t.select("doc_id", "text", "canon", "named", "n", odd.alias("odd"))
+    t = t.select("doc_id", "text", "canon", "named", F.concat(*[starts_of(n, r) for n in lengths for r in (0, 1)]).alias("starts"))
+    t = t.select("doc_id", "canon", "named", "starts", F.when(F.size("starts") > 0, raw_words(F.col("text"))).alias("raw"))
+
+    def window(s: Column) -> Column:
+        plain, named = F.slice("canon", s["at"], s["length"]), F.slice("named", s["at"], s["length"])
+        words = F.when(s["reading"] == 0, plain).otherwise(named)
+        readings = F.when(plain == named, F.array(F.lit(0), F.lit(1))).otherwise(F.array(s["reading"]))
+        return F.struct(s["at"].alias("at"), F.xxhash64(words).alias("hash"), readings.alias("readings"), words.alias("canon"),
+                        F.slice("raw", s["at"], s["length"]).alias("raw"))
+
+    t = t.select("doc_id", F.when(F.size("raw") > 0, F.transform("starts", window)).alias("windows"))
     return t.select("doc_id", F.explode_outer("windows").alias("w")).where("w is not null").select("doc_id", "w.*")
 
 
+def _longest_run(places: Column, length: Column) -> Column:
+    """Most words in a row under windows at the given sorted places."""
+    none = F.struct(F.lit(None).cast("int").alias("from"), F.lit(None).cast("int").alias("at"), F.lit(0).alias("most"))
+
+    def step(s: Column, p: Column) -> Column:
+        start = F.when(p - s["at"] <= STRIDE, s["from"]).otherwise(p)
+        return F.struct(start.alias("from"), p.alias("at"), F.greatest(s["most"], p + length - start).alias("most"))
+    return F.aggregate(places, none, step, lambda s: s["most"])
+
+
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, matched, windows, coverage, reparameterised) of each
     contaminated document and item."""
@@ -137,16 +178,19 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     few = wanted.count() <= BROADCAST_WINDOWS
     hashes = [r[0] for r in wanted.select("hash").distinct().collect()] if few else None
     met = document_windows(docs, lengths, hashes).join(F.broadcast(wanted) if few else wanted, "hash")
+    met = met.withColumn("reading", F.explode(F.array_intersect("readings", "item_readings")))
     slots = F.filter(F.zip_with("canon", F.arrays_zip("item_raw", "raw"), lambda c, v: F.struct(
         c.alias("kind"), v["item_raw"].alias("a"), v["raw"].alias("b"))), lambda p: p["kind"].isin(NUMBER, NAME, UNIT))
-    diagonals = met.groupBy("doc_id", "item_id", "windows", (F.col("at") - F.col("item_at")).alias("diagonal")).agg(
+    diagonals = met.groupBy("doc_id", "item_id", "windows", "length", "reading", (F.col("at") - F.col("item_at")).alias("diagonal")).agg(
         F.collect_set("item_at").alias("places"), F.array_distinct(F.flatten(F.collect_set(slots))).alias("pairs"))
     consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["a"])))) == F.size("pairs")
     found = diagonals.where(consistent).groupBy("doc_id", "item_id", "windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("matched"),
-        F.max(F.exists("pairs", lambda p: p["a"] != p["b"])).alias("reparameterised"))
+        F.max(F.exists("pairs", lambda p: p["a"] != p["b"])).alias("reparameterised"),
+        F.max(_longest_run(F.array_sort("places"), F.col("length"))).alias("run"))
     found = found.withColumn("coverage", F.col("matched") / F.col("windows"))
-    return found.where((F.col("coverage") >= COVERAGE) & (F.col("matched") >= F.least(F.col("windows"), F.lit(2)))).select(
+    whole = (F.col("coverage") >= COVERAGE) & (F.col("matched") >= F.least(F.col("windows"), F.lit(2)))
+    return found.where(whole | (F.col("run") >= RUN_WORDS)).select(
         "doc_id", "item_id", "matched", F.col("windows").cast("long").alias("windows"), "coverage", "reparameterised")
 
 

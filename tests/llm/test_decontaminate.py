@@ -50,3 +50,14 @@ def test_clean_keeps_columns_and_empty_tables(spark, make_docs):
     assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {2, None}
     assert dec.clean(docs, items(spark, [])).count() == 3
     assert caught(make_docs([]), items(spark, [(1, ITEM)])) == {}
+
+
+def test_first_words_and_long_runs(spark, make_docs):
+    short, long = "What is the capital of France?", " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200))
+    its = items(spark, [(1, short), (2, "Anna has 3 red apples and pears"), (3, long)])
+    docs = make_docs([(1, "quiz: " + short), (2, "A heading\n" + short), (3, "- " + short), (4, "So. " + short), (5, "quiz what is the capital of France"),
+                      (6, "Maria has 4 red apples and pears"), (7, "quiz: Maria has 4 red apples and pears"), (8, "x " + " ".join(long.split()[50:80]) + " y"),
+                      (9, " ".join(long.split()[50:65])), (10, "quiz: What is the price of bread?")])
+    got = caught(docs, its)
+    assert set(got) == {(i, 1) for i in range(1, 6)} | {(6, 2), (7, 2), (8, 3)}
+    assert got[6, 2]["reparameterised"] and not got[1, 1]["reparameterised"]
