@@ -17,7 +17,8 @@ mark, and may be a new name. Consistency is that of one reading. Items shorter t
 matched as a whole; items of fewer than ``LEAST_WORDS`` words match nothing.
 
 Defined results: null and empty texts match nothing; repeated documents and
-items are each matched; rows with a null id are matched under the null id;
+items are each matched; rows of one id (or none) with different texts are
+documents of their own, told apart by the text's hash, and so are items;
 empty tables give no rows; extra columns are ignored (``clean`` keeps them).
 """
 
@@ -86,9 +87,9 @@ def _all_named(canon: Column, cased: Column) -> Column:
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(item_id, length, windows, item_at, hash, item_readings, item_raw): an
+    """(item_id, item_row, length, windows, item_at, hash, item_readings, item_raw): an
     item's joined windows in their readings, and their number."""
-    t = items.select("item_id", template_words(F.col("text")).alias("canon"), cased_words(F.col("text")).alias("cased"), raw_words(F.col("text")).alias("raw"))
+    t = items.select("item_id", F.xxhash64("text").alias("item_row"), template_words(F.col("text")).alias("canon"), cased_words(F.col("text")).alias("cased"), raw_words(F.col("text")).alias("raw"))
     t = t.withColumn("named", _all_named(F.col("canon"), F.col("cased")))
     t = t.withColumn("n", F.size("canon")).where(F.col("n") >= LEAST_WORDS)
     t = t.withColumn("length", F.least(F.col("n"), F.lit(WINDOW)))
@@ -98,7 +99,7 @@ def item_windows(items: DataFrame) -> DataFrame:
     plain, named = (F.slice(c, F.col("item_at"), F.col("length")) for c in ("canon", "named"))
     reading = lambda words, *of: F.struct(words.alias("words"), F.array(*map(F.lit, of)).alias("of"))
     t = t.withColumn("reading", F.explode(F.when(plain == named, F.array(reading(plain, 0, 1))).otherwise(F.array(reading(plain, 0), reading(named, 1)))))
-    return t.select("item_id", "length", "windows", "item_at", F.xxhash64("reading.words").alias("hash"), F.col("reading.of").alias("item_readings"),
+    return t.select("item_id", "item_row", "length", "windows", "item_at", F.xxhash64("reading.words").alias("hash"), F.col("reading.of").alias("item_readings"),
                     F.slice("raw", F.col("item_at"), F.col("length")).alias("item_raw"))
 
 
@@ -122,7 +123,7 @@ def _among(hash: Column, bits: np.ndarray) -> Column:
 
 
 def document_windows(docs: DataFrame, lengths: list, hashes: list | None) -> DataFrame:
-    """(doc_id, at, hash, readings, canon, raw) of the windows of the given
+    """(doc_id, row, at, hash, readings, canon, raw) of the windows of the given
     lengths at every position, in both readings where they differ; with ``hashes`` only those whose hash may be among them
     (a bit test, so that the others make no rows)."""
     bits = None if hashes is None else _hash_bits(hashes)
@@ -141,13 +142,13 @@ def document_windows(docs: DataFrame, lengths: list, hashes: list | None) -> Dat
     # What a lambda reads again and again is a column used twice, so that it is worked out once a row. For the
     # same reason no filter stands on these columns (it would be pushed below them, words and all): the outer
     # explode gives a null row instead.
-    t = docs.select("doc_id", "text", template_words(F.col("text")).alias("canon"), cased_words(F.col("text")).alias("cased"))
-    t = t.select("doc_id", "text", "canon", F.size("canon").alias("n"), _all_named(F.col("canon"), F.col("cased")).alias("named"))
+    t = docs.select("doc_id", F.xxhash64("text").alias("row"), "text", template_words(F.col("text")).alias("canon"), cased_words(F.col("text")).alias("cased"))
+    t = t.select("doc_id", "row", "text", "canon", F.size("canon").alias("n"), _all_named(F.col("canon"), F.col("cased")).alias("named"))
     places = F.zip_with("canon", "named", lambda a, b: a != b)
     odd = F.filter(F.transform(places, lambda x, i: F.when(x, i + 1)), lambda i: i.isNotNull())
-    t = t.select("doc_id", "text", "canon", "named", "n", odd.alias("odd"))
-    t = t.select("doc_id", "text", "canon", "named", F.concat(*[starts_of(n, r) for n in lengths for r in (0, 1)]).alias("starts"))
-    t = t.select("doc_id", "canon", "named", "starts", F.when(F.size("starts") > 0, raw_words(F.col("text"))).alias("raw"))
+    t = t.select("doc_id", "row", "text", "canon", "named", "n", odd.alias("odd"))
+    t = t.select("doc_id", "row", "text", "canon", "named", F.concat(*[starts_of(n, r) for n in lengths for r in (0, 1)]).alias("starts"))
+    t = t.select("doc_id", "row", "canon", "named", "starts", F.when(F.size("starts") > 0, raw_words(F.col("text"))).alias("raw"))
 
     def window(s: Column) -> Column:
         plain, named = F.slice("canon", s["at"], s["length"]), F.slice("named", s["at"], s["length"])
@@ -156,8 +157,8 @@ def document_windows(docs: DataFrame, lengths: list, hashes: list | None) -> Dat
         return F.struct(s["at"].alias("at"), F.xxhash64(words).alias("hash"), readings.alias("readings"), words.alias("canon"),
                         F.slice("raw", s["at"], s["length"]).alias("raw"))
 
-    t = t.select("doc_id", F.when(F.size("raw") > 0, F.transform("starts", window)).alias("windows"))
-    return t.select("doc_id", F.explode_outer("windows").alias("w")).where("w is not null").select("doc_id", "w.*")
+    t = t.select("doc_id", "row", F.when(F.size("raw") > 0, F.transform("starts", window)).alias("windows"))
+    return t.select("doc_id", "row", F.explode_outer("windows").alias("w")).where("w is not null").select("doc_id", "row", "w.*")
 
 
 def _longest_run(places: Column, length: Column) -> Column:
@@ -170,8 +171,8 @@ def _longest_run(places: Column, length: Column) -> Column:
     return F.aggregate(places, none, step, lambda s: s["most"])
 
 
-def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, matched, windows, coverage, reparameterised) of each
+def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, row, item_id, matched, windows, coverage, reparameterised) of each
     contaminated document and item."""
     wanted = stash(item_windows(items), "benchmark-windows")
     lengths = sorted(r[0] for r in wanted.select("length").distinct().collect()) or [WINDOW]  # at most WINDOW values
@@ -181,23 +182,28 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     met = met.withColumn("reading", F.explode(F.array_intersect("readings", "item_readings")))
     slots = F.filter(F.zip_with("canon", F.arrays_zip("item_raw", "raw"), lambda c, v: F.struct(
         c.alias("kind"), v["item_raw"].alias("a"), v["raw"].alias("b"))), lambda p: p["kind"].isin(NUMBER, NAME, UNIT))
-    diagonals = met.groupBy("doc_id", "item_id", "windows", "length", "reading", (F.col("at") - F.col("item_at")).alias("diagonal")).agg(
+    diagonals = met.groupBy("doc_id", "row", "item_id", "item_row", "windows", "length", "reading", (F.col("at") - F.col("item_at")).alias("diagonal")).agg(
         F.collect_set("item_at").alias("places"), F.array_distinct(F.flatten(F.collect_set(slots))).alias("pairs"))
     consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["a"])))) == F.size("pairs")
-    found = diagonals.where(consistent).groupBy("doc_id", "item_id", "windows").agg(
+    found = diagonals.where(consistent).groupBy("doc_id", "row", "item_id", "item_row", "windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("matched"),
         F.max(F.exists("pairs", lambda p: p["a"] != p["b"])).alias("reparameterised"),
         F.max(_longest_run(F.array_sort("places"), F.col("length"))).alias("run"))
     found = found.withColumn("coverage", F.col("matched") / F.col("windows"))
     whole = (F.col("coverage") >= COVERAGE) & (F.col("matched") >= F.least(F.col("windows"), F.lit(2)))
     return found.where(whole | (F.col("run") >= RUN_WORDS)).select(
-        "doc_id", "item_id", "matched", F.col("windows").cast("long").alias("windows"), "coverage", "reparameterised")
+        "doc_id", "row", "item_id", "matched", F.col("windows").cast("long").alias("windows"), "coverage", "reparameterised")
+
+
+def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``matches`` without the row's hash."""
+    return matches(docs, items).drop("row")
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the contaminated documents."""
-    bad = contaminated(docs, items).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    bad = matches(docs, items).select(F.col("doc_id").alias("bad_id"), F.col("row").alias("bad_row")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.xxhash64("text") == F.col("bad_row")), "left_anti")
 
 
 def op3_decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -31,10 +31,10 @@ BUCKET_ROWS = 20_000
 
 
 def sizes(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """(doc_id, source, size, key): the words of each document and its place
-    in the seeded order."""
+    """(doc_id, source, row, size, key): the words of each document, the hash
+    that tells it from others of its id, and its place in the seeded order."""
     return docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"),
+        "doc_id", "source", F.xxhash64("doc_id", "source", "text").alias("row"), word_count(F.col("text")).alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"))
 
 
@@ -104,8 +104,8 @@ def _overlap(a0: Column, a1: Column, b0: Column, b1: Column) -> Column:
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, block: int = BLOCK, shards: int = SHARDS,
         max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """One row per document: doc_id, source, key, size, source_size, target,
-    passes (whole passes), cuts (array of [from, to) word ranges of the last,
+    """One row per document: doc_id, source, row, copy (its number among equal
+    rows), key, size, source_size, target, passes (whole passes), cuts (array of [from, to) word ranges of the last,
     partial pass), taken (words in all)."""
     sized = stash(sizes(docs, seed), "mix-sizes")
     targets = source_targets(sized, weights, max_epochs)
@@ -145,20 +145,35 @@ def _taken(placed: DataFrame) -> DataFrame:
     cuts = F.filter(F.array(F.when(wraps, cut(two)), cut(one)), lambda c: c.isNotNull() & (c["to"] > c["from"]))
     placed = placed.withColumn("cuts", cuts)
     part = F.aggregate("cuts", F.lit(0).cast("long"), lambda a, c: a + c["to"] - c["from"])
-    return placed.select("doc_id", "source", "key", "size", "source_size", "target", "passes", "cuts",
+    copy = F.row_number().over(Window.partitionBy("row").orderBy("at"))
+    return placed.select("doc_id", "source", "row", copy.alias("copy"), "key", "size", "source_size", "target", "passes", "cuts",
                          (F.col("size") * F.col("passes") + part).alias("taken"))
 
 
+def _met(docs: DataFrame, m: DataFrame) -> DataFrame:
+    """Each row of ``docs`` with its own row of the mix."""
+    docs = docs.withColumn("m_row", F.xxhash64("doc_id", "source", "text"))
+    again = m.where("m_copy > 1").select("m_row").distinct()
+    if not again.take(1):
+        return docs.join(m, "m_row")
+    # Equal rows are rare: only these are numbered and go through a further shuffle.
+    numbered = docs.join(again, "m_row", "left_semi").withColumn("m_copy", F.row_number().over(Window.partitionBy("m_row").orderBy("m_row")))
+    return docs.join(again, "m_row", "left_anti").join(m, "m_row").unionByName(numbered.join(m, ["m_row", "m_copy"]))
+
+
 def materialise(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The mix as documents: a row of the whole document for each whole pass,
     and one for each word range of the partial pass (text cut at words). A
     document that no pass takes is left out; one without words is kept once.
-    ``docs`` must have one row per doc_id."""
-    m = mixed.select(F.col("doc_id").alias("m_id"), F.col("size").alias("m_size"), F.col("passes").alias("m_passes"), F.col("cuts").alias("m_cuts"))
+    Rows meet by the mix's row and copy, or by doc_id in a mix without them."""
+    keyed = "row" in mixed.columns
+    keys = [F.col("row").alias("m_row"), F.col("copy").alias("m_copy")] if keyed else [F.col("doc_id").alias("m_id")]
+    m = mixed.select(*keys, F.col("size").alias("m_size"), F.col("passes").alias("m_passes"), F.col("cuts").alias("m_cuts"))
     whole = F.when(F.col("m_size") == 0, F.lit(1)).otherwise(F.col("m_passes")).cast("int")
     full = F.struct(F.lit(0).cast("long").alias("from"), F.col("m_size").alias("to"))
     parts = F.concat(F.array_repeat(full, whole), F.when(F.col("m_size") > 0, F.col("m_cuts")).otherwise(F.array().cast("array<struct<from:bigint,to:bigint>>")))
-    both = docs.join(m, docs["doc_id"].eqNullSafe(m["m_id"])).withColumn("m_part", F.explode(parts))
+    both = _met(docs, stash(m, "mix-cuts")) if keyed else docs.join(m, docs["doc_id"].eqNullSafe(m["m_id"]))
+    both = both.withColumn("m_part", F.explode(parts))
     # Pieces are a word and the white space behind it; the first keeps what stands before it.
     pieces = F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     lead = F.when(F.col("text").rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)

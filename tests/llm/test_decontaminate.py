@@ -61,3 +61,10 @@ def test_first_words_and_long_runs(spark, make_docs):
     got = caught(docs, its)
     assert set(got) == {(i, 1) for i in range(1, 6)} | {(6, 2), (7, 2), (8, 3)}
     assert got[6, 2]["reparameterised"] and not got[1, 1]["reparameterised"]
+
+
+def test_rows_without_or_of_one_id_are_their_own(spark, make_docs):
+    fine = "fine text of many words that nobody ever saw before"
+    docs = make_docs([(None, ITEM), (None, fine), (None, ITEM.replace("12", "7")), (1, fine), (1, ITEM.replace("Anna", "Maria")), (1, ITEM.replace("Anna", "Laura"))])
+    assert sorted((r["doc_id"] is None, r["text"]) for r in dec.clean(docs, items(spark, [(1, ITEM)])).collect()) == [(False, fine), (True, fine)]
+    assert dec.contaminated(docs, items(spark, [(1, ITEM), (1, "other words that stand for nothing here")])).count() == 4

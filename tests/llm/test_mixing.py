@@ -55,3 +55,15 @@ def test_empty(spark, make_docs):
 @pytest.mark.parametrize("text, n", [(None, 0), ("", 0), (" \t\n", 0), ("a\u00a0b c", 2), ("x" * 100000, 1)])
 def test_words(spark, make_docs, text, n):
     assert mixing.sizes(make_docs([(1, text)])).first()["size"] == n
+
+
+def test_rows_without_or_of_one_id_are_their_own(spark, make_docs):
+    rows = [(None if i % 3 else 7, " ".join(f"{'nv'[i % 2]}{i}x{j}" for j in range(20 + i)), "ab"[i % 2]) for i in range(30)]
+    rows += [rows[1]] * 3 + [(None, None, "a")] * 2
+    docs = make_docs(rows)
+    mixed = mixing.mix(docs)
+    out = mixing.materialise(docs, mixed)
+    words = {r[0]: r[1] for r in out.where("text is not null").groupBy(F.substring_index(F.trim("text"), "x", 1)).agg(F.sum(word_count(F.col("text")))).collect()}
+    taken = mixed.join(docs.select(F.xxhash64("doc_id", "source", "text").alias("row"), "text").distinct(), "row").where("taken > 0")
+    assert words == {r[0]: r[1] for r in taken.groupBy(F.substring_index("text", "x", 1)).agg(F.sum("taken")).collect()}
+    assert out.where("text is null").count() == 2 and out.columns == docs.columns
