@@ -1,18 +1,13 @@
-import datetime as dt
-import json
 import os
 import sys
 import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from tallyspark.session import build_session  # noqa: E402
-from tallyspark.sources.inputs import Inputs  # noqa: E402
-
-SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
@@ -21,27 +16,3 @@ def spark():
     s = build_session(master="local[4]", shuffle_partitions=4,
                       extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ts-warehouse-")})
     yield s
-
-
-def ts(text: str) -> dt.datetime:
-    return dt.datetime.fromisoformat(text)
-
-
-def payload(**kw) -> str:
-    return json.dumps(kw)
-
-
-def make_inputs(spark, logs=(), footprint=(), static=(), ccu=()):
-    """Literal-row inputs. logs: (oid, time, command, payload)."""
-    g = spark.createDataFrame(
-        [(o, ts(t), c, p if isinstance(p, str) or p is None else json.dumps(p)) for o, t, c, p in logs],
-        "oidaccount bigint, time timestamp, command string, payload string")
-    f = spark.createDataFrame([(o, ts(c) if c else None) for o, c in footprint], "oidaccount bigint, created timestamp")
-    s = spark.createDataFrame(list(static), "oidaccount bigint, country string")
-    c = spark.createDataFrame([(ts(t), v) for t, v in ccu], "time timestamp, ccu int")
-    return Inputs(gamelogs=g, footprint=f, staticaccount=s, ccu=c)
-
-
-def rows(df, *cols):
-    cols = cols or df.columns
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))

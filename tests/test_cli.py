@@ -1,7 +1,7 @@
 import json
 import tempfile
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 from tallyspark.__main__ import main
 from tallyspark.sinks.store import TableStore

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import make_inputs, rows
+from helpers import make_inputs, rows
 
 from tallyspark.plans.daily import DailyJob
 from tallyspark.plans.jobs import replace_keys

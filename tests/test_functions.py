@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import ts
+from helpers import ts
 
 from pyspark.sql import functions as F
 

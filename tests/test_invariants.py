@@ -1,6 +1,6 @@
 """Invariants over the fixture tables."""
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 from pyspark.sql import functions as F
 

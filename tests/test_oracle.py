@@ -6,7 +6,7 @@ import re
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 import __spark_entry__ as entry
 

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 import __spark_entry__ as entry
 from tallyspark import operators as ops
@@ -73,7 +73,7 @@ def test_country_sales_reduce_per_account_before_join(spark, inputs):
 def test_bucketed_dimensions_are_not_shuffled(spark, inputs):
     import tempfile
 
-    from conftest import rows
+    from helpers import rows
 
     from tallyspark.sources.dimensions import with_bucketed_dimensions
     bucketed = with_bucketed_dimensions(inputs, 4, root=tempfile.mkdtemp(prefix="ts-dims-"))

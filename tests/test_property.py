@@ -7,7 +7,7 @@ import datetime as dt
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import SF_SMALL, rows
+from helpers import SF_SMALL, rows
 
 from tallyspark.plans.daily import DailyJob
 from tallyspark.rundates import RunDates

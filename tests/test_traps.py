@@ -3,7 +3,7 @@ accident (SURVEY §2.7, T1-T17)."""
 
 import datetime as dt
 
-from conftest import make_inputs, rows, ts
+from helpers import make_inputs, rows, ts
 
 from tallyspark import operators as ops
 from tallyspark.plans.daily import DailyJob
