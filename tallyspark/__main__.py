@@ -1,6 +1,6 @@
 """Command line: run a scheduled job against stored tables.
 
-    python -m tallyspark daily  --inputs ROOT --store ROOT [--start D --end D] [--commands A,B] [--vacuum] [--parallel N]
+    python -m tallyspark daily  --inputs ROOT --store ROOT [--start D --end D] [--commands A,B] [--vacuum] [--parallel N] [--run-id ID]
     python -m tallyspark ccu    --inputs ROOT --store ROOT [--now TS] [--staleness strict]
     python -m tallyspark replay --inputs ROOT --store ROOT [--interval 60] [--start KEY --end KEY] [--purge-old]
     python -m tallyspark ccu-stream --inputs HEARTBEAT_FOLDER --store ROOT --checkpoint SHARED_FOLDER
@@ -43,6 +43,7 @@ def main(argv=None) -> None:
     ap.add_argument("--checkpoint", help="ccu-stream: shared folder for the stream's progress and state")
     ap.add_argument("--lateness", default="2 minutes")
     ap.add_argument("--parallel", type=int, default=1, help="daily: concurrent table writes per dependency wave")
+    ap.add_argument("--run-id", help="daily: record the run; the same id again takes a broken run up where it stopped")
     a = ap.parse_args(argv)
 
     spark = build_session(master=a.master) if a.master else _cluster_session()
@@ -56,7 +57,10 @@ def main(argv=None) -> None:
         inputs = read_table_inputs(spark, a.inputs)
         dates = RunDates(date_series(a.start, a.end or a.start)) if a.start else None
         commands = [c for c in a.commands.split(",") if c] or None
-        written = jobs.daily_crm(inputs, store, dates, commands, parallel=a.parallel)
+        if a.run_id and a.run_id in store.runs():
+            written = jobs.resume_run(inputs, store, a.run_id, a.parallel)
+        else:
+            written = jobs.daily_crm(inputs, store, dates, commands, a.parallel, a.run_id)
         print(json.dumps({t: len(p) for t, p in written.items()}))
     elif a.job == "ccu-stream":
         from tallyspark.streaming import start_ccu_stream
@@ -72,11 +76,10 @@ def main(argv=None) -> None:
     else:
         inputs = read_table_inputs(spark, a.inputs)
         if a.start:
-            parts = jobs.replay_backfill_job(inputs.replay, store, a.start, a.end or a.start, a.interval,
-                                             now=now, purge_old=a.purge_old)
+            parts = jobs.replay_backfill_job(inputs.replay, store, a.start, a.end or a.start, a.interval, a.purge_old)
         else:
             parts = jobs.replay_pick_job(inputs.replay, store, None, a.interval, now=now, purge_old=a.purge_old)
-        print(json.dumps({"buckets": parts}))
+        print(json.dumps({"days": parts}))
 
 
 def _cluster_session():

@@ -50,6 +50,21 @@ def bind_hashes(entries: DataFrame, fields: dict[str, str] | None = None) -> Dat
     return raw.select("hashkey", *[c.alias(f) for f, c in typed.items()], sum(bad[1:], bad[0]).alias("bad_fields"))
 
 
+def rejected_entries(entries: DataFrame, fields: dict[str, str] | None = None) -> DataFrame:
+    """(hashkey, field, value, wanted): the entries of known fields whose text
+    does not read as the field's type, as they were, in one pass without a
+    shuffle; what ``bind_hashes`` counts in ``bad_fields``."""
+    fields = fields or GAME_SERVER_FIELDS
+    kinds = sorted({t for t in fields.values() if t != "string"})
+    of_kind = {t: [f for f, kind in fields.items() if kind == t] for t in kinds}
+    wanted, fails = F.lit(None).cast("string"), F.lit(False)
+    for t in kinds:
+        here = F.col("field").isin(of_kind[t])
+        wanted = F.when(here, t).otherwise(wanted)
+        fails = F.when(here, _typed(F.col("value"), t).isNull()).otherwise(fails)
+    return entries.where(F.col("value").isNotNull() & fails).select("hashkey", "field", "value", wanted.alias("wanted"))
+
+
 def hash_entries(status: DataFrame) -> DataFrame:
     """Inverse view: a typed status table as ``(hashkey, field, value)``
     text entries, the layout of the status store."""

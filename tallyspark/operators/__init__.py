@@ -1,6 +1,7 @@
 """Roll-ups: pure functions of input DataFrames and run dates."""
 
 from tallyspark.operators.accounts import account_daily, dau  # noqa: F401
+from tallyspark.operators.activity import day_bits, new_numbers  # noqa: F401
 from tallyspark.operators.basic import basic_daily, basic_daily_country, new_accounts_per_day  # noqa: F401
 from tallyspark.operators.ccu import ccu  # noqa: F401
 from tallyspark.operators.logs import retained_log  # noqa: F401
@@ -14,5 +15,5 @@ from tallyspark.operators.payments import (  # noqa: F401
 )
 from tallyspark.operators.quality import rejected_values  # noqa: F401
 from tallyspark.operators.periodic import basic_period, basic_period_country  # noqa: F401
-from tallyspark.operators.replay import pick_best, purge_picks  # noqa: F401
+from tallyspark.operators.replay import fetch_best, pick_best, purge_picks  # noqa: F401
 from tallyspark.operators.retention import retention  # noqa: F401

@@ -15,6 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.operators.activity import distinct_accounts
 from tallyspark.rundates import ONE_DAY, RunDates
 
 def _zero():
@@ -80,16 +81,22 @@ def _bucketed(df: DataFrame, day_map: DataFrame) -> DataFrame:
     return df.join(day_map, df["date"] == day_map["day"]).drop("day")
 
 
+def _accounts(account_daily_df: DataFrame | None, bits: DataFrame | None, day_map: DataFrame, *by: str) -> DataFrame:
+    if bits is not None:
+        return distinct_accounts(_bucketed(bits, day_map), *by)
+    return _bucketed(account_daily_df, day_map).groupBy(*by).agg(F.countDistinct("oidaccount").alias("au"))
+
+
 def basic_period(basic_daily_df: DataFrame, account_daily_df: DataFrame, revenue_df: DataFrame,
-                 dates: RunDates, period: str, through_last_run_date: bool = True) -> DataFrame:
+                 dates: RunDates, period: str, through_last_run_date: bool = True, bits: DataFrame | None = None) -> DataFrame:
     """One row per touched period: nru (sum of daily nru), au (distinct
     accounts), pu (sum of daily payer counts, not distinct payers), revenue.
-    ``basic_daily_df`` needs only (date, nru)."""
+    ``basic_daily_df`` needs only (date, nru). With ``bits`` (the days' bit
+    sets of accounts, see ``activity``) no account row is read."""
     spark = basic_daily_df.sparkSession
     day_map = _day_map(spark, dates, period, through_last_run_date)
     nru = _bucketed(basic_daily_df, day_map).groupBy("pdate").agg(F.sum("nru").alias("nru"))
-    au = (_bucketed(account_daily_df, day_map).groupBy("pdate")
-          .agg(F.countDistinct("oidaccount").alias("au")))
+    au = _accounts(account_daily_df, bits, day_map, "pdate")
     money = (_bucketed(revenue_df, day_map).groupBy("pdate")
              .agg(F.sum("pu").alias("pu"), F.sum("revenue").alias("revenue")))
     # Always one row per touched period: stack the period list with the
@@ -104,7 +111,7 @@ def basic_period(basic_daily_df: DataFrame, account_daily_df: DataFrame, revenue
 
 def basic_period_country(basic_daily_country_df: DataFrame, account_daily_df: DataFrame,
                          revenue_df: DataFrame, dates: RunDates, period: str,
-                         through_last_run_date: bool = True) -> DataFrame:
+                         through_last_run_date: bool = True, bits: DataFrame | None = None) -> DataFrame:
     """Per (period, country), anchored on the countries of the daily-country
     table. Distinct accounts and revenue attach by the account-daily row's
     own country and plain equality, so the NULL country gets au = pu =
@@ -113,8 +120,7 @@ def basic_period_country(basic_daily_country_df: DataFrame, account_daily_df: Da
     day_map = _day_map(spark, dates, period, through_last_run_date)
     a = (_bucketed(basic_daily_country_df, day_map).groupBy("pdate", "country")
          .agg(F.sum("nru").alias("nru"))).alias("a")
-    b = (_bucketed(account_daily_df, day_map).groupBy("pdate", "country")
-         .agg(F.countDistinct("oidaccount").alias("au"))).alias("b")
+    b = _accounts(account_daily_df, bits, day_map, "pdate", "country").alias("b")
     c = (_bucketed(revenue_df, day_map).groupBy("pdate", "country")
          .agg(F.sum("pu").alias("pu"), F.sum("revenue").alias("revenue"))).alias("c")
     on_b = (F.col("a.pdate") == F.col("b.pdate")) & (F.col("a.country") == F.col("b.country"))

@@ -113,11 +113,13 @@ class DailyJob:
     """Lazily built outputs of one daily run over ``dates``."""
 
     def __init__(self, inputs: Inputs, dates: RunDates,
-                 upstream: Callable[[str], DataFrame] | None = None, persist_shared: bool = False):
+                 upstream: Callable[[str], DataFrame] | None = None, persist_shared: bool = False,
+                 bits: Callable[[RunDates], DataFrame] | None = None):
         self.inputs = inputs
         self.dates = dates
         self.upstream = upstream
         self.persist_shared = persist_shared
+        self.bits = bits
         self._memo: dict[tuple[str, tuple], DataFrame] = {}
         self._shared: dict[str, DataFrame] = {}
 
@@ -173,6 +175,11 @@ class DailyJob:
         return self._daily("basic_daily_country", days, lambda: ops.basic_daily_country(
             self.account_daily(days), i.footprint, i.staticaccount, self.revenue_daily(days), days))
 
+    def account_bits(self, days: RunDates) -> DataFrame | None:
+        """The days' bit sets of accounts, where a store keeps them (``bits``:
+        brings them up to date for the days and reads them)."""
+        return self.bits(days).where(days.date_filter("date")) if self.bits else None
+
     def arena_matches(self) -> DataFrame:
         """Typed ArenaEnd rows of the run dates, parsed once for the six
         roll-ups that read them; kept in memory/disk while a scheduled run
@@ -211,10 +218,10 @@ class DailyJob:
             days = period_input_dates(d, period, through)
             if table.endswith("_country"):
                 df = ops.basic_period_country(self.basic_daily_country(days), self.account_daily(days),
-                                              self.revenue_daily(days), d, period, through)
+                                              self.revenue_daily(days), d, period, through, self.account_bits(days))
             else:
                 df = ops.basic_period(self.new_accounts_daily(days), self.account_daily(days),
-                                      self.revenue_daily(days), d, period, through)
+                                      self.revenue_daily(days), d, period, through, self.account_bits(days))
         elif table in RETENTION_VARIANTS:
             cohort, by = RETENTION_VARIANTS[table]
             df = ops.retention(self.account_daily(cohort_dates(d)), d, cohort, by)

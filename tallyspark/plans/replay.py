@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.dates import BUCKET_FORMAT, in_bucket_series
-from tallyspark.operators.replay import pick_best
+from tallyspark.operators.replay import fetch_best
 
 PY_BUCKET_FORMAT = "%Y%m%d%H%M"
 DEFAULT_INTERVAL = 60
@@ -35,16 +35,22 @@ def previous_bucket(now: dt.datetime, interval_minutes: int = DEFAULT_INTERVAL)
 
 
 def replay_backfill(replay: DataFrame, start_key: str | None = None, end_key: str | None = None,
-                    interval_minutes: int = DEFAULT_INTERVAL) -> DataFrame:
-    """Picks for every bucket of the series. Without bounds, the series spans
-    the replay table's first to last bucket (two scalars are read)."""
-    if start_key is None or end_key is None:
-        row = replay.agg(F.min("dateHour").alias("lo"), F.max("dateHour").alias("hi")).first()
-        start_key = start_key or row["lo"]
-        end_key = end_key or row["hi"]
-    # A predicate, not a literal list: a year of hourly buckets would be
-    # 8,760 literals, too many for the scan's pushdown.
-    return pick_best(replay, bucket_pred=in_bucket_series("dateHour", start_key, end_key, interval_minutes))
+                    interval_minutes: int | None = None) -> DataFrame:
+    """Picks for every bucket from ``start_key`` to ``end_key`` (an absent
+    bound is open): with ``interval_minutes`` those of the series that starts
+    at ``start_key``, as the launcher steps; without it every bucket that the
+    table has, whatever its interval."""
+    if interval_minutes and start_key:
+        # A predicate, not a literal list: a year of hourly buckets would be
+        # 8,760 literals, too many for the scan's pushdown.
+        last = end_key or replay.agg(F.max("dateHour")).first()[0] or start_key
+        return fetch_best(replay, in_bucket_series("dateHour", start_key, last, interval_minutes))
+    pred = F.lit(True)
+    if start_key:
+        pred = pred & (F.col("dateHour") >= start_key)
+    if end_key:
+        pred = pred & (F.col("dateHour") <= end_key)
+    return fetch_best(replay, pred)
 
 
 __all__ = ["BUCKET_FORMAT", "bucket_keys", "previous_bucket", "replay_backfill"]

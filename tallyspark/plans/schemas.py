@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallyspark.operators.activity import BITS, NUMBERS
+
 OUTPUT_SCHEMAS: dict[str, str] = {
     "account_daily": "date date, oidaccount bigint, arenalevel smallint, isnew boolean, country string",
     "paid_account_daily": "date date, oidaccount bigint, cnt bigint, amount bigint",
@@ -51,6 +53,8 @@ def column_names(table: str) -> list[str]:
 
 # Stored tables beyond the daily outputs.
 OUTPUT_SCHEMAS.update({
+    "account_numbers": NUMBERS,
+    "account_bits_daily": BITS,
     "crm_ccu": "time timestamp, ccu int, day date",
 })
 

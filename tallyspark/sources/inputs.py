@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.session import ensure_checkpoint_dir
+from tallyspark.sinks.store import TableStore
 from tallyspark.sources.fixtures import BASE_TABLES, VIEWS
 
 
@@ -115,8 +116,10 @@ def _as_inputs(frames: dict[str, DataFrame]) -> Inputs:
 
 def read_table_inputs(spark: SparkSession, root: str) -> Inputs:
     """Inputs stored as Parquet tables under ``root`` (the production
-    layout): ``gamelogs`` partitioned by ``event_date``, the others plain."""
+    layout): ``gamelogs`` partitioned by ``event_date``, either plain day
+    folders or a table with versions, the others plain."""
     root = root.rstrip("/")
+    log = TableStore(spark, root, {"gamelogs": "oidaccount bigint, time timestamp, command string, payload string, event_date date"})
 
     def opt(name):
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
@@ -125,7 +128,7 @@ def read_table_inputs(spark: SparkSession, root: str) -> Inputs:
         return spark.read.parquet(f"{root}/{name}") if there else None
 
     return Inputs(
-        gamelogs=spark.read.parquet(f"{root}/gamelogs"),
+        gamelogs=log.read("gamelogs") if log.versions("gamelogs") else spark.read.parquet(f"{root}/gamelogs"),
         footprint=spark.read.parquet(f"{root}/rds_footprint"),
         staticaccount=spark.read.parquet(f"{root}/rds_staticaccount"),
         ccu=opt("crm_ccu"),

@@ -47,6 +47,6 @@ def test_purge_keeps_rows_without_a_day(spark, tmp_path):
     store = TableStore(spark, str(tmp_path), {"log": "time timestamp, event_date date"})
     df = spark.createDataFrame([(None, None), (dt.datetime(2024, 1, 1), dt.date(2024, 1, 1)), (dt.datetime(2024, 3, 1, 5), dt.date(2024, 3, 1)),
                                 (dt.datetime(2024, 3, 1, 7), dt.date(2024, 3, 1))], "time timestamp, event_date date")
-    df.write.partitionBy("event_date").parquet(f"{tmp_path}/log")
+    store.overwrite("log", df, ["event_date"])
     assert purge_partitions_before(store, "log", "event_date", "time", dt.datetime(2024, 3, 1, 6)) == ["event_date=2024-01-01"]
     assert rows(store.read("log"), "time") == [(dt.datetime(2024, 3, 1, 7),), (None,)]
