@@ -259,10 +259,18 @@ def links(docs: DataFrame, reps: DataFrame, width: int, percent: int, shingles:
 
     placed = index.join(roots, "node", "left").select("sig", "node", "n", "own", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("sig")
-    open_ = placed.join(mixed, "sig")
-    x, y = (open_.select("sig", *[F.col(c).alias(f"{n}_{c}") for c in ("node", "root", "n", "own")]) for n in "ab")
-    both = (F.col("a_root") < F.col("b_root")) & _enough(F.col("a_n"), F.col("a_own"), F.col("b_n"), percent) & _enough(F.col("b_n"), F.col("b_own"), F.col("a_n"), percent)
-    across = x.join(y, "sig").where(both).withColumnsRenamed({"a_node": "a", "b_node": "b"}).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # Of two nodes of different components at least one lies outside the signature's largest component. These few
+    # travel as one list per signature; each node gathers its lists, so that a pair that meets under many signatures
+    # is made once and the rows of the join are those of the index.
+    open_ = stash(placed.join(mixed, "sig"), "jaccard-open")
+    top = open_.groupBy("sig", "root").count().groupBy("sig").agg(F.max(F.struct("count", "root"))["root"].alias("top"))
+    open_ = open_.join(top, "sig").withColumn("outside", F.col("root") != F.col("top"))
+    lists = open_.where("outside").groupBy("sig").agg(F.collect_list(F.struct("node", "n", "own", "root")).alias("others"))
+    partners = F.transform(F.filter("others", lambda o: (o["root"] != F.col("root")) & (~F.col("outside") | (o["node"] < F.col("node")))
+                                    & _enough(F.col("n"), F.col("own"), o["n"], percent) & _enough(o["n"], o["own"], F.col("n"), percent)), lambda o: o["node"])
+    met = open_.join(lists, "sig").select("node", partners.alias("partners")).where(F.size("partners") > 0)
+    met = met.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))
+    across = met.select("node", F.explode("partners").alias("partner")).select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).distinct()
     across = across.join(stars, ["a", "b"], "left_anti")
     more = stash(_verified(across, held, percent), "jaccard-links")
     unstash(index)
