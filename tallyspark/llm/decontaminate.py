@@ -33,6 +33,10 @@ from .common import stash
 WINDOW, STRIDE, COVERAGE, LEAST_WORDS, RUN_WORDS = 6, 3, 0.5, 4, 24
 #: Item windows up to which they are broadcast (some 200 bytes each); more are joined by shuffle.
 BROADCAST_WINDOWS = 100_000
+#: Words beside placeholders that a window needs.
+LEAST_PLAIN = 2
+#: Bits of the filter over the items' window hashes, at most (8 MB).
+MOST_BITS = 1 << 26
 
 _STOP = "\x1f"
 # Sentence ends, other punctuation, number words, units.
@@ -47,12 +51,6 @@ UNITS = ("km m cm mm mile miles meter meters metre metres foot feet inch inches
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 
 
-def _closed_list(words: list, more: str = "") -> str:
-    """Pattern of whole words (or ``more``), branching on the first letter."""
-    heads = sorted({w[0] for w in words})
-    return r"(?<!\S)(?:" + (f"{more}|" if more else "") + "|".join(f"{h}(?:{'|'.join(sorted((w[1:] for w in words if w[0] == h), key=len, reverse=True))})" for h in heads) + r")(?!\S)"
-
-
 def _marked(text: Column) -> Column:
     """The text with punctuation as spaces and sentence ends as marks."""
     other = _PUNCTUATION + "\t\n\x0b\f\r"
@@ -71,9 +69,8 @@ def template_words(text: Column) -> Column:
     """As many words as ``raw_words`` has, with placeholders."""
     # A name begins with a capital and goes on small, and the word before ends no sentence.
     canon = F.regexp_replace(_marked(text), rf"(?<=[^{_STOP} ] {{1,3}})\p{{Lu}}\p{{Ll}}[^ {_STOP}]*", NAME)
-    canon = F.lower(F.translate(canon, _STOP, ""))
-    canon = F.regexp_replace(canon, _closed_list(NUMBER_WORDS, r"\d\S*"), NUMBER)
-    return _cut(F.regexp_replace(canon, _closed_list(UNITS), UNIT))
+    words = _cut(F.lower(F.translate(canon, _STOP, "")))
+    return F.transform(words, lambda w: F.when(F.substring(w, 1, 1).between("0", "9") | w.isin(NUMBER_WORDS), NUMBER).when(w.isin(UNITS), UNIT).otherwise(w))
 
 
 def cased_words(text: Column) -> Column:
@@ -86,32 +83,69 @@ def _all_named(canon: Column, cased: Column) -> Column:
     return F.zip_with(canon, cased, lambda a, c: F.when(c.rlike(r"^\p{Lu}\p{Ll}"), NAME).otherwise(a))
 
 
+def _window_hashes(words: str, df: DataFrame, lengths: list) -> DataFrame:
+    """``df`` with a column ``<words>_<length>`` for each length: the hashes of
+    the runs of so many words, by place. Runs of 1, 2, 4 words are hashed
+    from the halves' hashes, others from these."""
+    df = df.withColumn(f"{words}_1", F.transform(words, lambda w: F.xxhash64(w)))
+
+    def joined(left: int, right: int) -> Column:
+        both = F.zip_with(f"{words}_{left}", F.slice(f"{words}_{right}", left + 1, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.xxhash64(a, b))
+        # zip_with fills the shorter side up with nulls: only whole runs count.
+        return F.slice(both, 1, F.greatest(F.size(words) - (left + right - 1), F.lit(0)))
+    done, width = {1}, 1
+    while width * 2 <= max(lengths):
+        df, width = df.withColumn(f"{words}_{width * 2}", joined(width, width)), width * 2
+        done.add(width)
+    for length in sorted(set(lengths) - done):
+        parts = [p for p in sorted(done, reverse=True) if p & length and p & (p - 1) == 0]
+        have = parts[0]
+        for part in parts[1:]:
+            if have + part not in done:
+                df = df.withColumn(f"{words}_{have + part}", joined(have, part))
+                done.add(have + part)
+            have += part
+    return df
+
+
+def _plain(words: Column) -> Column:
+    return F.size(F.filter(words, lambda w: ~w.isin(NUMBER, NAME, UNIT)))
+
+
 def item_windows(items: DataFrame) -> DataFrame:
     """(item_id, item_row, length, windows, item_at, hash, item_readings, item_raw): an
-    item's joined windows in their readings, and their number."""
+    item's joined windows in their readings, and their number. Windows of
+    fewer than ``LEAST_PLAIN`` words beside placeholders say nothing and are left out."""
     t = items.select("item_id", F.xxhash64("text").alias("item_row"), template_words(F.col("text")).alias("canon"), cased_words(F.col("text")).alias("cased"), raw_words(F.col("text")).alias("raw"))
     t = t.withColumn("named", _all_named(F.col("canon"), F.col("cased")))
     t = t.withColumn("n", F.size("canon")).where(F.col("n") >= LEAST_WORDS)
     t = t.withColumn("length", F.least(F.col("n"), F.lit(WINDOW)))
     last = F.col("n") - F.col("length") + 1
-    t = t.withColumn("starts", F.array_distinct(F.concat(F.sequence(F.lit(1), last, F.lit(STRIDE)), F.array(last))))
+    starts = F.array_distinct(F.concat(F.sequence(F.lit(1), last, F.lit(STRIDE)), F.array(last)))
+    t = t.withColumn("starts", F.filter(starts, lambda s: _plain(F.slice("canon", s, F.col("length"))) >= LEAST_PLAIN))
     t = t.select("*", F.size("starts").alias("windows"), F.explode("starts").alias("item_at"))
     plain, named = (F.slice(c, F.col("item_at"), F.col("length")) for c in ("canon", "named"))
     reading = lambda words, *of: F.struct(words.alias("words"), F.array(*map(F.lit, of)).alias("of"))
     t = t.withColumn("reading", F.explode(F.when(plain == named, F.array(reading(plain, 0, 1))).otherwise(F.array(reading(plain, 0), reading(named, 1)))))
-    return t.select("item_id", "item_row", "length", "windows", "item_at", F.xxhash64("reading.words").alias("hash"), F.col("reading.of").alias("item_readings"),
+    t = t.withColumn("words", F.col("reading.words")).where(_plain(F.col("words")) >= LEAST_PLAIN)
+    lengths = list(range(LEAST_WORDS, WINDOW + 1))
+    t = _window_hashes("words", t, lengths)
+    hash = F.coalesce(*[F.when(F.col("length") == n, F.get(f"words_{n}", F.lit(0))) for n in lengths])
+    return t.select("item_id", "item_row", "length", "windows", "item_at", hash.alias("hash"), F.col("reading.of").alias("item_readings"),
                     F.slice("raw", F.col("item_at"), F.col("length")).alias("item_raw"))
 
 
-def _hash_bits(hashes: list) -> np.ndarray:
-    """Two bits for each of the items' window hashes, as an array of longs
-    with 128 bits to a hash."""
-    size = 1 << max(14, (128 * len(hashes)).bit_length())
-    bits = np.zeros(size // 64, dtype=np.uint64)
-    for h in hashes:
-        for at in (h % size, (h >> 32) % size):
-            bits[at // 64] |= np.uint64(1) << np.uint64(at % 64)
-    return bits.view(np.int64)
+def _hash_bits(hashes: DataFrame, n: int) -> np.ndarray:
+    """Two bits for each of the ``n`` hashes, as an array of longs with 128
+    bits to a hash, ``MOST_BITS`` at most: a bounded array at any size of the
+    benchmark (a fuller one lets more windows on to the join)."""
+    size = min(1 << max(14, (128 * n).bit_length()), MOST_BITS)
+    at = F.explode(F.array(*[F.pmod(h, F.lit(size)) for h in (F.col("hash"), F.shiftright("hash", 32))])).alias("at")
+    words = hashes.select(at).groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("mask"))
+    bits = np.zeros(size // 64, dtype=np.int64)
+    for r in words.collect():
+        bits[r["word"]] = r["mask"]
+    return bits
 
 
 def _among(hash: Column, bits: np.ndarray) -> Column:
@@ -122,31 +156,23 @@ def _among(hash: Column, bits: np.ndarray) -> Column:
     return bit(hash) & bit(F.shiftright(hash, 32))
 
 
-def document_windows(docs: DataFrame, lengths: list, hashes: list | None) -> DataFrame:
+def document_windows(docs: DataFrame, lengths: list, bits: np.ndarray) -> DataFrame:
     """(doc_id, row, at, hash, readings, canon, raw) of the windows of the given
-    lengths at every position, in both readings where they differ; with ``hashes`` only those whose hash may be among them
-    (a bit test, so that the others make no rows)."""
-    bits = None if hashes is None else _hash_bits(hashes)
-
-    def starts_of(length: int, reading: int) -> Column:
-        last = F.col("n") - length + 1
-        if reading == 0:
-            starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        else:  # only windows that hold a word which the readings differ in
-            near = F.transform("odd", lambda p: F.sequence(F.greatest(p - length + 1, F.lit(1)), F.least(p, last)))
-            starts = F.when(last >= 1, F.array_distinct(F.flatten(near))).otherwise(F.array().cast("array<int>"))
-        if bits is not None:
-            starts = F.filter(starts, lambda s: _among(F.xxhash64(F.slice("named" if reading else "canon", s, length)), bits))
-        return F.transform(starts, lambda s: F.struct(s.alias("at"), F.lit(length).alias("length"), F.lit(reading).alias("reading")))
-
+    lengths, in both readings where they differ, whose hash may be among those
+    of ``bits`` (so that the others make no rows)."""
     # What a lambda reads again and again is a column used twice, so that it is worked out once a row. For the
     # same reason no filter stands on these columns (it would be pushed below them, words and all): the outer
     # explode gives a null row instead.
     t = docs.select("doc_id", F.xxhash64("text").alias("row"), "text", template_words(F.col("text")).alias("canon"), cased_words(F.col("text")).alias("cased"))
-    t = t.select("doc_id", "row", "text", "canon", F.size("canon").alias("n"), _all_named(F.col("canon"), F.col("cased")).alias("named"))
-    places = F.zip_with("canon", "named", lambda a, b: a != b)
-    odd = F.filter(F.transform(places, lambda x, i: F.when(x, i + 1)), lambda i: i.isNotNull())
-    t = t.select("doc_id", "row", "text", "canon", "named", "n", odd.alias("odd"))
+    t = t.select("doc_id", "row", "text", "canon", _all_named(F.col("canon"), F.col("cased")).alias("named"))
+    t = _window_hashes("named", _window_hashes("canon", t, lengths), lengths)
+
+    def starts_of(length: int, reading: int) -> Column:
+        def start(h: Column, i: Column) -> Column:
+            wanted = _among(h, bits) if not reading else (h != F.get(f"canon_{length}", i)) & _among(h, bits)
+            return F.when(wanted, F.struct((i + 1).alias("at"), F.lit(length).alias("length"), F.lit(reading).alias("reading"), h.alias("hash")))
+        return F.array_compact(F.transform(f"{'named' if reading else 'canon'}_{length}", start))
+
     t = t.select("doc_id", "row", "text", "canon", "named", F.concat(*[starts_of(n, r) for n in lengths for r in (0, 1)]).alias("starts"))
     t = t.select("doc_id", "row", "canon", "named", "starts", F.when(F.size("starts") > 0, raw_words(F.col("text"))).alias("raw"))
 
@@ -154,7 +180,7 @@ def document_windows(docs: DataFrame, lengths: list, hashes: list | None) -> Dat
         plain, named = F.slice("canon", s["at"], s["length"]), F.slice("named", s["at"], s["length"])
         words = F.when(s["reading"] == 0, plain).otherwise(named)
         readings = F.when(plain == named, F.array(F.lit(0), F.lit(1))).otherwise(F.array(s["reading"]))
-        return F.struct(s["at"].alias("at"), F.xxhash64(words).alias("hash"), readings.alias("readings"), words.alias("canon"),
+        return F.struct(s["at"].alias("at"), s["hash"].alias("hash"), readings.alias("readings"), words.alias("canon"),
                         F.slice("raw", s["at"], s["length"]).alias("raw"))
 
     t = t.select("doc_id", "row", F.when(F.size("raw") > 0, F.transform("starts", window)).alias("windows"))
@@ -176,9 +202,9 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     contaminated document and item."""
     wanted = stash(item_windows(items), "benchmark-windows")
     lengths = sorted(r[0] for r in wanted.select("length").distinct().collect()) or [WINDOW]  # at most WINDOW values
-    few = wanted.count() <= BROADCAST_WINDOWS
-    hashes = [r[0] for r in wanted.select("hash").distinct().collect()] if few else None
-    met = document_windows(docs, lengths, hashes).join(F.broadcast(wanted) if few else wanted, "hash")
+    n = wanted.count()
+    bits = _hash_bits(wanted.select("hash"), n)
+    met = document_windows(docs, lengths, bits).join(F.broadcast(wanted) if n <= BROADCAST_WINDOWS else wanted, "hash")
     met = met.withColumn("reading", F.explode(F.array_intersect("readings", "item_readings")))
     slots = F.filter(F.zip_with("canon", F.arrays_zip("item_raw", "raw"), lambda c, v: F.struct(
         c.alias("kind"), v["item_raw"].alias("a"), v["raw"].alias("b"))), lambda p: p["kind"].isin(NUMBER, NAME, UNIT))
