@@ -70,7 +70,7 @@ def template_words(text: Column) -> Column:
     # A name begins with a capital and goes on small, and the word before ends no sentence.
     canon = F.regexp_replace(_marked(text), rf"(?<=[^{_STOP} ] {{1,3}})\p{{Lu}}\p{{Ll}}[^ {_STOP}]*", NAME)
     words = _cut(F.lower(F.translate(canon, _STOP, "")))
-    return F.transform(words, lambda w: F.when(F.substring(w, 1, 1).between("0", "9") | w.isin(NUMBER_WORDS), NUMBER).when(w.isin(UNITS), UNIT).otherwise(w))
+    return F.transform(words, lambda w: F.when(((w >= "0") & (w < ":")) | w.isin(NUMBER_WORDS), NUMBER).when(w.isin(UNITS), UNIT).otherwise(w))
 
 
 def cased_words(text: Column) -> Column:
@@ -80,14 +80,16 @@ def cased_words(text: Column) -> Column:
 
 def _all_named(canon: Column, cased: Column) -> Column:
     """Reading 1 of the template words."""
-    return F.zip_with(canon, cased, lambda a, c: F.when(c.rlike(r"^\p{Lu}\p{Ll}"), NAME).otherwise(a))
+    # A word that equals its lower-case form has no capital: most need no pattern.
+    return F.zip_with(canon, cased, lambda a, c: F.when((a != c) & c.rlike(r"^\p{Lu}\p{Ll}"), NAME).otherwise(a))
 
 
 def _window_hashes(words: str, df: DataFrame, lengths: list) -> DataFrame:
     """``df`` with a column ``<words>_<length>`` for each length: the hashes of
     the runs of so many words, by place. Runs of 1, 2, 4 words are hashed
     from the halves' hashes, others from these."""
-    df = df.withColumn(f"{words}_1", F.transform(words, lambda w: F.xxhash64(w)))
+    if f"{words}_1" not in df.columns:
+        df = df.withColumn(f"{words}_1", F.transform(words, lambda w: F.xxhash64(w)))
 
     def joined(left: int, right: int) -> Column:
         both = F.zip_with(f"{words}_{left}", F.slice(f"{words}_{right}", left + 1, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.xxhash64(a, b))
@@ -165,7 +167,11 @@ def document_windows(docs: DataFrame, lengths: list, bits: np.ndarray) -> DataFr
     # explode gives a null row instead.
     t = docs.select("doc_id", F.xxhash64("text").alias("row"), "text", template_words(F.col("text")).alias("canon"), cased_words(F.col("text")).alias("cased"))
     t = t.select("doc_id", "row", "text", "canon", _all_named(F.col("canon"), F.col("cased")).alias("named"))
-    t = _window_hashes("named", _window_hashes("canon", t, lengths), lengths)
+    t = _window_hashes("canon", t, lengths)
+    # The readings differ in names only, so reading 1 takes most word hashes over.
+    name = F.xxhash64(F.lit(NAME))
+    t = t.withColumn("named_1", F.zip_with("canon_1", "named", lambda h, w: F.when(w == NAME, name).otherwise(h)))
+    t = _window_hashes("named", t, lengths)
 
     def starts_of(length: int, reading: int) -> Column:
         def start(h: Column, i: Column) -> Column:
