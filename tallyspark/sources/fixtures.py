@@ -87,6 +87,8 @@ from events
 
 # Status hashes as the store keeps them: field and text value, with an unknown
 # field, stamps in two forms and values that do not parse.
+TEXT_FIELDS = ("UUID", "HostName", "IP", "Revision", "ResourceRev", "MatchmakerVersion", "MatchmakerRevision",
+               "MatchmakerResourceRevision", "MatchmakerIP", "PublicIP", "PublicUrl")
 STATUS_HASHES_SQL = """
 select concat('ServerDesc:',s) as hashkey, field, value from (
  select s, 'numCCU' as field, case when s=7 then 'many' else cast(n as string) end as value from servers
@@ -98,10 +100,7 @@ select concat('ServerDesc:',s) as hashkey, field, value from (
  union all select s, 'dtmStarted', case when s=11 then '' when s%3=0 then '1/5/2024 1:02:03 PM' else '2024-01-05 13:02:03' end from servers
  union all select s, 'numMaxUser', case when s=9 then '9e' when s%4=0 then ' 500 ' else '1000' end from servers
  union all select s, 'MatchmakerPort', case when s=2 then '99999999999' else cast(8000+s as string) end from servers
- union all select s, f, concat(lower(f),'-',s) from servers cross join (
-   select 'UUID' as f union all select 'HostName' union all select 'IP' union all select 'Revision' union all select 'ResourceRev'
-   union all select 'MatchmakerVersion' union all select 'MatchmakerRevision' union all select 'MatchmakerResourceRevision'
-   union all select 'MatchmakerIP' union all select 'PublicIP' union all select 'PublicUrl') names
+""" + "\n".join(f" union all select s, '{f}', concat('{f.lower()}-',s) from servers" for f in TEXT_FIELDS) + """
  union all select s, 'Colour', 'blue' from servers) f
 """
 SERVERS_SQL = "select user_id%20 as s, count(*) as n from events group by user_id%20"
