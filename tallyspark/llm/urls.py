@@ -4,13 +4,16 @@ A url is cut into host and path. Longest-prefix rules (host suffix and path
 beginning) decide first. Every host has a tree of path templates: a segment of
 a fixed kind (number, date, hexadecimal or uuid; with its file extension)
 becomes that kind's wildcard, a position with many different values for its
-urls becomes ``*``, and sibling branches below a host whose label shares do not
-differ significantly are merged into one wildcard branch. Urls that a rule
-decides are the labels. A template is rejected by its smoothed purity::
+urls becomes ``*``, and a branch whose blocked share does not differ
+significantly from its siblings' is merged with them into one wildcard branch.
+Urls that a rule decides are the labels, and labels alone are evidence: a branch
+without any falls to the wildcard, a branch whose siblings have none stays. A template is rejected by its smoothed purity::
 
-    (blocked + PRIOR * share) / (labelled + UNLABELLED * unlabelled + PRIOR)
+    (blocked + PRIOR * the parent's purity) / (labelled + PRIOR)
 
-where share is the blocked share of all labelled urls of the parent template.
+from the host down, segment by segment; the host's parent has the blocked share
+of all labelled urls. So a template with few labels follows its parent. Urls of
+a host without any label are allowed: nothing is known of it.
 
 Trees are built level by level from counts of (host, template, segment), which
 are aggregated before any shuffle; a hot host's urls meet only in sums, never
@@ -37,9 +40,9 @@ RULES = (
 DEPTH = 6
 #: A position is variable from this many different values on, if they are this share of its urls.
 VARIABLE_VALUES, VARIABLE_SHARE = 20, 0.3
-#: Largest z of a branch's blocked share against its siblings' at which it is merged with them.
+#: Largest z of a branch's blocked share of labels against its siblings' at which it is merged with them.
 MERGE_Z = 1.96
-PRIOR, UNLABELLED, PURITY = 4.0, 0.25, 0.8
+PRIOR, PURITY = 4.0, 0.8
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -102,13 +105,11 @@ def grow_tree(counts: DataFrame) -> DataFrame:
             F.count("*").alias("values"), F.sum("n").alias("tn"), F.sum("b").alias("tb"), F.sum("l").alias("tl"))
         joined = branch.join(total, ["host", "template"])
         variable = (F.col("values") >= VARIABLE_VALUES) & (F.col("values") >= VARIABLE_SHARE * F.col("tn"))
-        # Two-proportion test with Laplace smoothing of a branch's blocked share among its urls against its siblings'.
-        rest_n, rest_b = F.col("tn") - F.col("n"), F.col("tb") - F.col("b")
-        own = (F.col("b") + 1) / (F.col("n") + 2)
-        other = (rest_b + 1) / (rest_n + 2)
-        pooled = (F.col("tb") + 2) / (F.col("tn") + 4)
-        z = F.abs(own - other) / F.sqrt(pooled * (1 - pooled) * (1 / (F.col("n") + 2) + 1 / (rest_n + 2)))
-        alike = (F.col("values") > 1) & (z <= MERGE_Z) & ~F.col("seg").startswith("{")
+        # Two-proportion test of a branch's labels against its siblings'. Without own labels it falls to the wildcard.
+        rest_l, rest_b, pooled = F.col("tl") - F.col("l"), F.col("tb") - F.col("b"), F.try_divide("tb", "tl")
+        error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), "l") + F.try_divide(F.lit(1), rest_l)))
+        z = F.when(error > 0, F.try_divide(F.abs(F.try_divide("b", "l") - F.try_divide(rest_b, rest_l)), error)).otherwise(0.0)
+        alike = (F.col("values") > 1) & ((F.col("l") == 0) | ((rest_l > 0) & (z <= MERGE_Z))) & ~F.col("seg").startswith("{")
         step = joined.select("host", "template", "seg", F.when(variable | alike, F.lit("*")).otherwise(F.col("seg")).alias("as_seg"))
         grown = (here.join(step, ["host", "template", "seg"])
                  .withColumn("template", F.concat("template", F.lit("/"), "as_seg")).drop("seg", "as_seg"))
@@ -117,17 +118,17 @@ def grow_tree(counts: DataFrame) -> DataFrame:
 
 
 def judge_templates(tree: DataFrame) -> DataFrame:
-    """(host, template, purity): purity smoothed to the parent template's
-    blocked share, the host's to that of all urls."""
-    per = tree.groupBy("host", "template").agg(F.sum("urls").alias("n"), F.sum("blocked").alias("b"), F.sum("labelled").alias("l"))
-    host = per.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("b").alias("hb"), F.sum("l").alias("hl"))
-    every = per.agg(F.sum("b").alias("ab"), F.sum("l").alias("al"))
-    smooth = lambda b, l, n, share: (b + PRIOR * share) / (l + UNLABELLED * (n - l) + PRIOR)
-    all_share = (F.coalesce("ab", F.lit(0)) + 1) / (F.coalesce("al", F.lit(0)) + 2)
-    host = host.crossJoin(F.broadcast(every))  # one row
-    host = host.select("host", smooth(F.col("hb"), F.col("hl"), F.col("hn"), all_share).alias("host_share"))
-    return per.join(host, "host").select(
-        "host", "template", smooth(F.col("b"), F.col("l"), F.col("n"), F.col("host_share")).alias("purity"))
+    """(host, template, purity, known): purity smoothed along the template's
+    parents, and whether its host has labels."""
+    prefixes = F.transform(F.sequence(F.lit(0), F.size("segs")), lambda k: F.array_join(F.slice(F.split("template", "/"), 1, k + 1), "/"))
+    parts = tree.select("host", "template", F.posexplode(prefixes).alias("depth", "prefix"), "blocked", "labelled")
+    sums = parts.groupBy("host", "prefix").agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("l"))
+    every = sums.where("prefix = ''").agg(F.coalesce(F.try_divide(F.sum("b"), F.sum("l")), F.lit(0.0)).alias("share"))
+    # At most DEPTH + 2 sums a template.
+    chains = parts.select("host", "template", "depth", "prefix").distinct().join(sums, ["host", "prefix"]).groupBy("host", "template").agg(
+        F.sort_array(F.collect_list(F.struct("depth", "b", "l"))).alias("chain"))
+    purity = F.aggregate("chain", F.col("share"), lambda parent, x: (x["b"] + PRIOR * parent) / (x["l"] + PRIOR))
+    return chains.crossJoin(F.broadcast(every)).select("host", "template", purity.alias("purity"), (F.get("chain", 0)["l"] > 0).alias("known"))  # one row
 
 
 def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -139,7 +140,7 @@ def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     verdicts = tree.select("host", "segs", "template").join(templates, ["host", "template"])
     out = judged.join(verdicts, ["host", "segs"])
     return out.select("page_id", "host", "path", F.col("decided.rule").alias("rule"),
-                      F.coalesce(F.col("decided.verdict"), F.when(F.col("purity") >= PURITY, "block").otherwise("allow")).alias("verdict"),
+                      F.coalesce(F.col("decided.verdict"), F.when(F.col("known") & (F.col("purity") >= PURITY), "block").otherwise("allow")).alias("verdict"),
                       "template", "purity")
 
 

@@ -38,5 +38,34 @@ def test_variable_positions_merge_and_purity_rejects(spark):
     assert by[1000]["template"] == "/a/*" and by[1000]["verdict"] == "allow"
 
 
+LEARNING = (("block", "bad.org", "/s/"), ("block", "mixed.org", "/s/"), ("allow", "mixed.org", "/a/"), ("allow", "good.org", "/"))
+
+
+def test_undecided_urls_are_blocked_or_allowed_by_labels(spark):
+    rows = [(i, f"http://bad.org/s/{i}", "") for i in range(40)] + [(100 + i, f"http://bad.org/u{i % 2}/{i}", "") for i in range(30)]
+    rows += [(200 + i, f"http://mixed.org/s/{i}", "") for i in range(20)] + [(300 + i, f"http://mixed.org/a/{i}", "") for i in range(20)]
+    rows += [(400 + i, f"http://mixed.org/v/{i}", "") for i in range(10)] + [(500, "http://unknown.org/s/1", ""), (501, None, "")]
+    rows += [(600 + i, f"http://good.org/s/{i}", "") for i in range(25)]
+    wide = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'x' as host", "1 as segs", "2 as purity")
+    got = {r["page_id"]: r for r in urls.filter_urls(wide, LEARNING).collect()}
+    assert len(got) == len(rows)
+    # every label of bad.org is blocked, so its other branches follow the host
+    assert {(got[i]["template"], got[i]["verdict"]) for i in range(40)} == {("/s/{number}", "block")}
+    assert {(got[i]["template"], got[i]["verdict"]) for i in range(100, 130)} == {("/*/{number}", "block")}
+    share = (40 + 20) / (40 + 20 + 20 + 25)
+    assert abs(got[100]["purity"] - (40 + 4 * share) / 44) < 1e-12
+    # differing branches stay apart; one without labels falls in with the rest, which does not reach the threshold
+    assert got[200]["template"] == "/s/{number}" and got[300]["template"] == "/a/{number}" and got[400]["template"] == "/*/{number}"
+    assert {got[400 + i]["verdict"] for i in range(10)} == {"allow"} and got[500]["verdict"] == got[501]["verdict"] == "allow"
+
+
+def test_rare_branches_merge_unless_their_labels_differ(spark):
+    rules = (("block", "bad.org", "/s/"), ("allow", "bad.org", "/ok/"), ("allow", "good.org", "/"))
+    rows = [(i, f"http://good.org/a/{i}", "") for i in range(100)] + [(200, "http://good.org/b/1", "")]
+    rows += [(300 + i, f"http://bad.org/s/{i}", "") for i in range(100)] + [(500, "http://bad.org/ok/1", "")]
+    got = {r["page_id"]: r["template"] for r in urls.filter_urls(spark.createDataFrame(rows, SCHEMA), rules).collect()}
+    assert got[0] == got[200] == "/*/{number}" and got[300] == "/s/{number}" and got[500] == "/ok/{number}"
+
+
 def test_empty(spark):
     assert judge(spark, []) == {}
