@@ -2,13 +2,14 @@
 
 Word and word-pair counts of all training texts are gathered by code bucket.
 Each bucket becomes a filter segment: an n-gram of count c is stored as the
-keys (code, 1) ... (code, q) with q = 1 + floor(log_BASE(c / least)), so probing
+keys (code, 1) ... (code, q) with q = 1 + floor(log_BASE(c)), so probing
 (code, 1), (code, 2), ... until one is absent reads its count back, rounded
 down. Segments have about ``BUCKET_BYTES`` of text behind them and are broadcast
 one by one; a task takes its words in blocks and meets one segment at a time,
 so neither the driver nor a task ever holds the whole filter.
 
-Pairs of count 1 are left to the back-off. The smoothed probability of word w
+Every word and pair is stored, those seen once too, and there is a level for
+every count that 64 bits hold. The smoothed probability of word w
 after h (h: the end token before the first word) is::
 
     (pair(h, w) + PRIOR * (word(w) + ADD) / (N + ADD * (V + 1))) / (word(h) + PRIOR)
@@ -41,10 +42,9 @@ from .textcodes import chunks, mix, word_codes
 ADD = 0.1
 PRIOR = 8.0
 BASE = 1.5
-LEVELS = 40
+#: No count of 63 bits is beyond this level.
+LEVELS = 108
 HASHES, BITS_PER_KEY = 5, 10
-#: Least count of a stored word and of a stored pair.
-LEAST = {0: 1, 1: 2}
 TOP = 1 << 19
 BUCKET_BYTES = 16 << 20
 #: Words that a task holds at once.
@@ -75,13 +75,13 @@ def _pairs(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         return mix(before * np.uint64(0x9E3779B97F4A7C15) + mix(tokens))
 
 
-def _level(counts: np.ndarray, least: int) -> np.ndarray:
-    return np.minimum(1 + np.floor(np.log(counts / least) / math.log(BASE) + 1e-9), LEVELS).astype(np.int64)
+def _level(counts: np.ndarray) -> np.ndarray:
+    return 1 + np.floor(np.log(counts) / math.log(BASE) + 1e-9).astype(np.int64)
 
 
-def level_count(level: np.ndarray, least: int) -> np.ndarray:
+def level_count(level: np.ndarray) -> np.ndarray:
     """Least count of a level; 0 for level 0."""
-    return np.where(level > 0, np.ceil(least * BASE ** (level - 1) - 1e-9), 0.0)
+    return np.where(level > 0, np.ceil(BASE ** (level - 1.0) - 1e-9), 0.0)
 
 
 def _places(codes: np.ndarray, level: int | np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -92,10 +92,10 @@ def _places(codes: np.ndarray, level: int | np.ndarray, size: int) -> Iterator[n
             yield (one + np.uint64(i) * two) % np.uint64(size)
 
 
-def build_segment(codes: np.ndarray, counts: np.ndarray, least: int) -> tuple[int, bytes]:
-    keep = counts >= least
-    codes, level = codes[keep], _level(counts[keep], least)
-    keys, steps = np.repeat(codes, level), np.concatenate([np.arange(1, n + 1) for n in level]) if len(level) else np.empty(0, np.int64)
+def build_segment(codes: np.ndarray, counts: np.ndarray) -> tuple[int, bytes]:
+    level = _level(counts)
+    keys = np.repeat(codes, level)
+    steps = np.arange(len(keys)) - np.repeat(np.cumsum(level) - level, level) + 1
     size = max(64, 8 * -(-len(keys) * BITS_PER_KEY // 8))
     bits = np.zeros(size // 8, dtype=np.uint8)
     for place in _places(keys, steps, size):
@@ -153,7 +153,7 @@ def count_grams(docs: DataFrame, buckets: int) -> DataFrame:
         codes, counts = codes[order], counts[order]
         first = np.flatnonzero(np.diff(codes, prepend=codes[0] ^ np.uint64(1)) != 0)
         codes, counts = codes[first], np.add.reduceat(counts, first)
-        size, bits = build_segment(codes, counts, LEAST[kind])
+        size, bits = build_segment(codes, counts)
         at_least = [int((counts >= _threshold(i)).sum()) for i in range(64)] if kind == 0 else []
         own = kind == 0
         return pd.DataFrame([(kind, bucket, codes.tobytes() if own else b"", counts.tobytes() if own else b"", len(codes), int(counts.sum()), at_least, size, bits)],
@@ -242,14 +242,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         tokens, before, counts = _tokens(texts)
         word, back = np.unique(tokens, return_inverse=True)
         level = levels(0, word)
-        low, high = level_count(level, LEAST[0]), np.where(level > 0, level_count(level + 1, LEAST[0]) - 1, 0.0)
+        low, high = level_count(level), np.where(level > 0, level_count(level + 1) - 1, 0.0)
         codes, known = top.value
         at = np.minimum(np.searchsorted(codes, word), max(len(codes) - 1, 0))
         exact = codes[at] == word if len(codes) else np.zeros(len(word), bool)
         true = np.where(exact, known[at], 0) if len(codes) else np.zeros(len(word))
         low, high = np.where(exact, true, low), np.where(exact, true, high)
         pair, pair_back = np.unique(_pairs(before, tokens), return_inverse=True)
-        seen = level_count(levels(1, pair), LEAST[1])[pair_back]
+        seen = level_count(levels(1, pair))[pair_back]
         # The first token of each text follows the end token, which is among the words.
         owner = np.repeat(np.arange(len(texts)), counts)
         previous = np.searchsorted(word, before)
