@@ -9,11 +9,18 @@ its gender and script, a reserved example domain stays one.
 
 A surrogate depends on the key, the type and the normalised value (an e-mail in
 small letters, a phone's digits), so every mention of an entity gets the same
-one, whatever its layout; each word of a name is an entity of its own. Distinct
-entities get distinct surrogates: surrogates of all distinct entities are
-compared with each other and with all originals, and an entity that collides is
-moved to its next round, until none does. Only such moved entities are joined
-back to documents; all other surrogates are computed in place.
+one, whatever its layout, and an e-mail's name or domain in capitals stays in
+capitals (mixed case becomes small); each word of a name is an entity of its own, and a document's surnames are found again
+where they stand alone. Distinct entities get distinct surrogates: surrogates of
+all distinct entities that look alike (all names; all numbers) are compared with
+each other and with all originals, and an entity that collides is moved to its
+next round, until none does. From round ``WIDEN`` on a surrogate is some signs
+longer than its format (an IP becomes one of the IPv6 documentation range), and
+longer with every round, so that a format whose values are all taken ends too.
+Only moved entities are joined back to documents; all other surrogates are
+computed in place.
+
+Names are found by a title or a listed first name only; others stay.
 
 Defined results: null text stays null; a text without entities is unchanged;
 rows keep their other columns and repeated rows stay; documents are matched
@@ -28,7 +35,8 @@ from pyspark.sql import functions as F
 from .common import stash
 
 KEY = "surrogate-1"
-MOST_ROUNDS = 50
+#: The round from which surrogates are longer than their format, and by how many signs more each round.
+WIDEN, WIDER = 4, 4
 
 # Titles by gender, and first names by gender (all lower-case).
 TITLES = {"f": "Mrs Ms Miss Madame Mme Mlle Frau Señora Sra Señorita г-жа".split(),
@@ -70,8 +78,15 @@ _ALL = (rf"(?<!\w)(?:(?<![.%+-]){_EMAIL}|(?=[past]){_LABEL}[^\s\"]{{6,}}|(?=sk-|
 _DIGITS = ("phone", "number", "card")
 
 
-def mentions(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({_ALL})"), F.lit(1))
+def pattern_of(text: Column) -> Column:
+    """The pattern for a text: its own surnames count wherever they stand alone."""
+    names = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({_ALL})"), F.lit(1))
+    last = F.array_distinct(F.transform(F.filter(names, lambda m: kind_of(m) == "name"), lambda m: F.element_at(_name_words(m), -1)))
+    return F.when(F.size(last) > 0, F.concat(F.lit(_ALL + r"|(?<!\w)(?:"), F.array_join(last, "|"), F.lit(r")(?!\w)"))).otherwise(F.lit(_ALL))
+
+
+def mentions(text: Column, pattern: Column) -> Column:
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.concat(F.lit("("), pattern, F.lit(")")), F.lit(1))
 
 
 def kind_of(mention: Column) -> Column:
@@ -135,27 +150,35 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(doubled, F.lit(0), lambda a, x: a + x) % 10
 
 
+def look_alikes(kind: Column) -> Column:
+    """Types whose values could be taken for each other, as one."""
+    return F.when(kind.isin("f", "m", "last"), "name").when(kind.isin(*_DIGITS), "digits").otherwise(kind)
+
+
 def surrogate(kind: Column, value: Column, round_: Column, key: str = KEY) -> Column:
     """The entity's surrogate value in its given round."""
+    more = F.greatest(round_ - (WIDEN - 1), F.lit(0)) * WIDER
+    longer = lambda sign: _like(F.repeat(F.lit(sign), more.cast("int")), F.sha2(F.concat(digest, F.lit("|longer")), 256))
     digest = F.sha2(F.concat(F.lit(f"{key}|"), kind, F.lit("|"), value, F.lit("|"), round_.cast("string")), 256)
     name_like = lambda part: F.concat(
         *[F.when(value.rlike(r"\p{IsCyrillic}"), _choose(digest, i, _SYLLABLES["cyrillic"])).otherwise(_choose(digest, i, _SYLLABLES["latin"])) for i in range(2)],
         # Later rounds have more syllables, so that names never run out.
         F.array_join(F.transform(F.sequence(F.lit(0), F.floor(round_ / 3).cast("int")), lambda i: F.when(i > 0, _choose_at(digest, i, value)).otherwise("")), ""),
         F.when(value.rlike(r"\p{IsCyrillic}"), _choose(digest, 90, _ENDINGS[part]["cyrillic"])).otherwise(_choose(digest, 90, _ENDINGS[part]["latin"])))
-    digits = F.concat(F.substring(value, 1, 1), _like(F.substring(value, 2, 100), digest))
+    digits = F.concat(F.substring(value, 1, 1), _like(F.substring(value, 2, 100), digest), longer("0"))
     card = F.when(_luhn(value) != 0, digits).otherwise(_with_luhn(digits))
     ip = F.array_join(F.array((_pick(digest, F.lit(1), 223) + 1).cast("string"), *[_pick(digest, F.lit(i), 256).cast("string") for i in (2, 3)],
                               (_pick(digest, F.lit(4), 254) + 1).cast("string")), ".")
+    ip = F.when(more > 0, F.concat(F.lit("2001:db8"), *[x for i in range(6) for x in (F.lit(":"), F.substring(digest, 4 * i + 1, 4))])).otherwise(ip)
     local, domain = F.substring_index(value, "@", 1), F.regexp_extract(value, "@(.*)$", 1)
     # A domain is an entity of its own: its digest leaves the local part out. Its last label stays, a reserved name's last two.
     tail = F.regexp_extract(domain, r"((?:\.|^)(?:example\.(?:com|org|net)|[^.]+))$", 1)
     of_domain = F.sha2(F.concat(F.lit(f"{key}|domain|"), domain), 256)
     head = F.substring(domain, F.lit(1), F.length(domain) - F.length(tail))
-    email = F.concat(_like(local, digest), F.lit("@"), _like(head, of_domain), tail)
-    iban = F.concat(F.substring(value, 1, 2), _like(F.substring(value, 3, 100), digest))
-    secret = F.when(value.startswith("AKIA"), F.concat(F.lit("AKIA"), _like(F.substring(value, 5, 100), digest))).when(
-        value.rlike("^[0-9a-f]+$"), _hex_like(value, digest)).otherwise(_like(value, digest))
+    email = F.concat(_like(local, digest), longer("a"), F.lit("@"), _like(head, of_domain), tail)
+    iban = F.concat(F.substring(value, 1, 2), _like(F.substring(value, 3, 100), digest), longer("0"))
+    secret = F.when(value.startswith("AKIA"), F.concat(F.lit("AKIA"), _like(F.substring(value, 5, 100), digest), longer("A"))).when(
+        value.rlike("^[0-9a-f]+$"), F.concat(_hex_like(value, digest), longer("0"))).otherwise(F.concat(_like(value, digest), longer("a")))
     return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind.isin("phone", "number"), digits)
             .when(kind == "iban", iban).when(kind == "f", name_like("f")).when(kind == "m", name_like("m")).when(kind == "last", name_like("last"))
             .otherwise(secret))
@@ -176,22 +199,28 @@ def _with_luhn(digits: Column) -> Column:
     return F.concat(body, F.pmod(10 - _luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string"))
 
 
+def _cased(value: Column, model: Column) -> Column:
+    """``value`` in capitals if ``model`` has no small letters."""
+    return F.when(model == F.upper(model), F.upper(value)).otherwise(value)
+
+
 def lay_out(mention: Column, kind: Column, values: Column) -> Column:
     """The surrogate values in the mention's layout."""
     chars = F.filter(F.split(mention, ""), lambda c: c != "")
     # Digits (and an IBAN's signs) go one by one into the places of the mention's own.
     fill = lambda cls: F.aggregate(chars, F.struct(F.lit("").alias("out"), F.lit(1).alias("at")), lambda s, c: F.when(
         c.rlike(cls), F.struct(F.concat(s["out"], F.substring(F.get(values, 0), s["at"], F.lit(1))).alias("out"), (s["at"] + 1).alias("at"))).otherwise(
-        F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at"))), lambda s: s["out"])
+        F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at"))), lambda s: F.concat(s["out"], F.substring(F.get(values, 0), s["at"], F.lit(1 << 20))))
+    email = F.concat_ws("@", *[_cased(F.substring_index(F.get(values, 0), "@", n), F.substring_index(mention, "@", n)) for n in (1, -1)])
     title = F.regexp_extract(mention, rf"^((?:{_ANY_TITLE})\.? )", 1)
     named = F.concat(title, F.array_join(F.transform(values, lambda v: F.initcap(v)), " "))
-    return F.when(kind.isin(*_DIGITS), fill("[0-9]")).when(kind == "iban", fill("[A-Z0-9]")).when(kind == "name", named).otherwise(
+    return F.when(kind.isin(*_DIGITS), fill("[0-9]")).when(kind == "iban", fill("[A-Z0-9]")).when(kind == "name", named).when(kind == "email", email).otherwise(
         F.concat(F.regexp_extract(mention, f"^({_LABEL})?", 0), F.get(values, 0)))
 
 
 def detect(docs: DataFrame) -> DataFrame:
     """(doc_id, mention, kind): a row per mention."""
-    found = docs.select("doc_id", mentions(F.col("text")).alias("found"))
+    found = docs.select("doc_id", mentions(F.col("text"), pattern_of(F.col("text"))).alias("found"))
     rows = found.select("doc_id", F.explode_outer("found").alias("mention")).where("mention is not null")
     return rows.withColumn("kind", kind_of(F.col("mention")))
 
@@ -200,19 +229,18 @@ def moved_entities(found: DataFrame, key: str = KEY) -> DataFrame:
     """(type, value, round) of the entities whose first surrogate collides."""
     every = found.select(F.explode(entities(F.col("mention"), F.col("kind"))).alias("e")).select("e.*").distinct()
     now = stash(every.withColumn("round", F.lit(0)), "pii-entities")
-    originals = now.select("type", F.col("value").alias("original"))
-    for _ in range(MOST_ROUNDS):
-        given = now.withColumn("given", surrogate(F.col("type"), F.col("value"), F.col("round"), key))
+    originals = now.select(look_alikes(F.col("type")).alias("of"), F.col("value").alias("original")).distinct()
+    while True:
+        given = now.withColumn("given", surrogate(F.col("type"), F.col("value"), F.col("round"), key)).withColumn("alike", look_alikes(F.col("type")))
         # Who came first keeps the surrogate.
-        order = Window.partitionBy("type", "given").orderBy("round", "value")
+        order = Window.partitionBy("alike", "given").orderBy("round", "value", "type")
         given = given.withColumn("turn", F.row_number().over(order))
-        given = given.join(originals.withColumnRenamed("type", "of"), (F.col("type") == F.col("of")) & (F.col("given") == F.col("original")), "left")
+        given = given.join(originals, (F.col("alike") == F.col("of")) & (F.col("given") == F.col("original")), "left")
         clash = (F.col("turn") > 1) | F.col("original").isNotNull()
         now = stash(given.select("type", "value", F.when(clash, F.col("round") + 1).otherwise(F.col("round")).alias("round"), clash.alias("clash")), "pii-entities")
         if not now.where("clash").take(1):
             return now.where("round > 0").select("type", "value", "round")
         now = now.drop("clash")
-    raise ValueError("some entities found no surrogate of their own")
 
 
 def replace_pii(docs: DataFrame, key: str = KEY) -> DataFrame:
@@ -234,8 +262,8 @@ def replace_pii(docs: DataFrame, key: str = KEY) -> DataFrame:
         values = F.transform(entities(mention, kind), lambda e: surrogate(e["type"], e["value"], round_of(e), key))
         return lay_out(mention, kind, values)
 
-    with_found = docs.withColumn("pii_found", mentions(F.col("text")))
-    gaps = F.split("text", _ALL, -1)
+    with_found = docs.withColumn("pii_pattern", pattern_of(F.col("text"))).withColumn("pii_found", mentions(F.col("text"), F.col("pii_pattern")))
+    gaps = F.split("text", F.col("pii_pattern"), -1)
     news = F.concat(F.transform("pii_found", replaced), F.array(F.lit("")))
     text = F.when(F.size("pii_found") > 0, F.array_join(F.zip_with(gaps, news, lambda g, n: F.concat(g, n)), "")).otherwise(F.col("text"))
     return with_found.select(*[text.alias(c) if c == "text" else F.col(c) for c in columns], F.size("pii_found").alias("n_entities"))

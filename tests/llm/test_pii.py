@@ -58,6 +58,36 @@ def test_distinct_entities_stay_distinct(make_docs, monkeypatch):
     assert all(a == b for a, b in got) and len({a for a, _ in got}) == len(names)
 
 
+def test_full_formats_widen(make_docs):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, f"mail {c}@example.com and {c.upper()}@example.com") for i, c in enumerate(letters)]
+    # every number of the form +1 d d: 100 of them, all taken
+    rows += [(100 + i, f"call +1 {i // 10} {i % 10} now") for i in range(100)]
+    got = replaced(make_docs(rows))
+    mails = [re.fullmatch(r"mail ([a-z]+)@example\.com and (\w+)@example\.com", got[i]["text"]).groups() for i in range(26)]
+    assert all(a == b.lower() and b[0].isupper() for a, b in mails) and len({a for a, _ in mails} | set(letters)) == 52
+    phones = [re.sub(r"\D", "", got[100 + i]["text"]) for i in range(100)]
+    assert len(set(phones) | {f"1{i:02}" for i in range(100)}) == 200 and all(p[0] == "1" for p in phones)
+
+
+def test_look_alikes_case_and_bare_surnames(make_docs, monkeypatch):
+    for part in pii._ENDINGS.values():
+        monkeypatch.setitem(part, "latin", ["na"])
+    monkeypatch.setitem(pii._SYLLABLES, "latin", ["ba", "be"])
+    docs = make_docs([(1, "Anna Smith came. Later Smith said: Smithson and smith stay. SMITH"), (2, "James Anna, Mary James"), (3, "Smith alone"),
+                      (4, "JOHN.DOE@ACME.ORG 123-45-6789 +12 3456 789")])
+    got = replaced(docs)
+    one = re.fullmatch(r"(\w+) (\w+) came\. Later (\w+) said: Smithson and smith stay\. SMITH", got[1]["text"])
+    assert one[2] == one[3] not in ("Smith", one[1]) and got[1]["n_entities"] == 2 and got[3]["text"] == "Smith alone"
+    two = re.fullmatch(r"(\w+) (\w+), (\w+) (\w+)", got[2]["text"]).groups()
+    words = {*two, one[1], one[2]}
+    # Anna, Smith, Mary, James and the surnames Anna and James: all differ, whatever their type
+    assert len(words) == 6 and not words & {"Anna", "Smith", "James", "Mary"}
+    assert re.fullmatch(r"[A-Z]{4}\.[A-Z]{3}@[A-Z]{4}\.ORG \d{3}-\d\d-\d{4} \+1\d \d{4} \d{3}", got[4]["text"])
+    numbers = re.findall(r"\d[\d -]+", got[4]["text"])
+    assert len({re.sub(r"\D", "", n) for n in numbers} | {"123456789"}) == 3
+
+
 def test_key_and_reruns(make_docs):
     docs = make_docs(TEXTS[:4])
     same = [sorted(r["text"] for r in pii.replace_pii(docs, key).collect()) for key in ("k1", "k1", "k2")]
