@@ -1,24 +1,33 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Word classes (insult, threat, target, negation, report, intensifier, clause
-end) are read by a lexicon transducer that maps words to classes and weights.
-A clause transducer composed from four machines then reads the class string:
+A lexicon transducer maps words to classes and weights (insult, threat, target,
+negation, report, intensifier) and punctuation to commas and clause ends. The
+class string is read by two transducers, each composed from machines of states
+and weighted arcs; what one machine writes, the next reads.
+
+From right to left:
+
+* target: an insult or threat with a target within reach behind it is aimed,
+* report: what stands before ", he said" or before the closing quotation mark
+  of such a tag is quoted, back to the clause's start.
+
+From left to right:
 
-* insult: adds the word's weight; an intensifier just before raises it,
-* threat: a threat word with a target within reach adds its weight,
-* target: a target within reach of an insult raises its weight,
 * negation: an insult or threat within reach after a negation counts little,
-* reported speech: after a reporting verb, up to the clause end, what is
-  matched is quoted and counts less.
+* report: after a reporting verb, up to the clause end, matches are quoted,
+* intensifier: one just before a match raises it,
+* target: a match within reach after a target is aimed,
+* clause: aimed insults count more, threats in full only if aimed, quoted
+  matches less.
 
-A text's evidence is the sum over its clauses, squashed to a score in (0, 1).
-The machines work on the few class symbols and the gaps between them.
+A match weighs its word's weight times the weights of the arcs it took; a
+text's evidence is the sum over its matches, squashed to a score in (0, 1).
 
 Insults are learned: words and word beginnings that labelled toxic texts hold
 significantly more often than others (likelihood ratio), from at most
-``SAMPLE`` labelled texts, the first by a hash of their id; the curve from
-evidence to score is fitted on the same texts. The remaining classes are small
-fixed word lists. Scores use the text alone.
+``SAMPLE`` labelled texts, the first by a hash of their id; every significant
+one is kept. The curve from evidence to score is fitted on the same texts. The
+remaining classes are small fixed word lists. Scores use the text alone.
 
 Defined results: null and empty texts have no evidence and the lowest score;
 every row gets a score, repeated rows the same one; without labels of both
@@ -30,6 +39,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -40,13 +50,11 @@ from .common import stash
 
 #: Most labelled texts the lexicon is learned from.
 SAMPLE = 20_000
-#: Most learned entries (words and word beginnings).
-ENTRIES = 5_000
 STEMS = (4, 5, 6, 7)
 #: Least ratio of an entry's rate among toxic texts to that among others.
 LIFT = 30
-#: Words between a negation, an intensifier or a target and what it bears on.
-REACH = 4
+#: Words in which a negation or a target, an intensifier, and a reporting verb behind a comma bear on others.
+REACH, NEAR, TAG = 4, 2, 3
 NEGATED, REPORTED, INTENSE, TARGETED = 0.1, 0.4, 1.3, 1.5
 #: Score = logistic(a + b * log(1 + evidence)); these hold where there are no labels to fit them.
 DEFAULT_CURVE = (-2.5, 2.5)
@@ -61,9 +69,16 @@ REPORTS = ("said says say told reported reportedly quoted claimed claims wrote c
 INTENSIFIERS = "very so such really utterly total complete sehr so total très si vraiment muy tan".split()
 SEED_INSULTS = "idiot moron scum".split()
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, INTENSIFIER, END = range(8)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, INTENSIFIER, COMMA, QUOTE_END, END = range(10)
+#: Marks that the machines add to an insult or a threat.
+AIMED, QUOTED = 16, 32
+MATCHES = [kind | mark for kind in (INSULT, THREAT) for mark in (0, AIMED, QUOTED, AIMED | QUOTED)]
+ALPHABET = sorted({*range(10), *MATCHES})
+#: A threat that nobody is the target of.
+AIMLESS = 0.25
 _EDGE = "\"'()[]{}<>«»“”‘’¡¿*_~`-.,;:!?…"
 _CLAUSE_END = re.compile(r"[.!?;:\n]")
+_QUOTE_END = re.compile(r"[.!?,]['\"”’»]$")
 
 
 def labelled_sample(labels: DataFrame, usable: Column, size: int = SAMPLE) -> DataFrame:
@@ -89,12 +104,13 @@ def _feature_counts(batches):
         yield pd.DataFrame([(f, a, b) for f, (a, b) in seen.items()], columns=["feature", "clean", "toxic"])
 
 
-def _ratio(a: float, b: float, n1: float, n0: float) -> float:
+def _ratio(a: Column, b: Column, n1: int, n0: int) -> Column:
     """Likelihood ratio (G2) of a of n1 against b of n0."""
-    def part(x, total, p):
-        return sum(k * math.log(k / (total * q)) for k, q in ((x, p), (total - x, 1 - p)) if k > 0)
-    pooled = (a + b) / (n1 + n0)
-    return 2 * (part(a, n1, pooled) + part(b, n0, pooled))
+    pooled = (a + b) / F.lit(n1 + n0)
+
+    def part(k: Column, expected: Column) -> Column:
+        return F.when(k > 0, k * F.log(k / expected)).otherwise(0.0)
+    return 2 * (part(a, n1 * pooled) + part(n1 - a, n1 * (1 - pooled)) + part(b, n0 * pooled) + part(n0 - b, n0 * (1 - pooled)))
 
 
 def _labelled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
@@ -122,8 +138,8 @@ def _without_copies(texts: DataFrame) -> DataFrame:
 
 
 def learn_lexicon(texts: DataFrame) -> dict:
-    """{word or 'beginning*': weight} of insults, at most ENTRIES of them, from
-    (text, toxic) rows."""
+    """{word or 'beginning*': weight} of insults from (text, toxic) rows: every
+    entry that passes the tests and no more general entry covers."""
     totals = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
     if not n0 or not n1:
@@ -132,17 +148,15 @@ def learn_lexicon(texts: DataFrame) -> dict:
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     # Rate among toxic texts at least LIFT times that among clean ones (a half count is added).
     lift = (F.col("toxic") / F.lit(n1)) / ((F.col("clean") + 0.5) / F.lit(n0))
-    kept = counts.where((F.col("toxic") >= 4) & (lift >= LIFT))
-    rows = kept.orderBy(F.desc("toxic"), "clean", F.length("feature").desc(), "feature").limit(4 * ENTRIES).collect()
-    tests = 1 + len(rows)
-    need = 2 * math.log(200 * tests)
+    tested = stash(counts.where((F.col("toxic") >= 4) & (lift >= LIFT)), "toxicity-entries")
+    need = 2 * math.log(200 * (1 + tested.count()))
+    rows = tested.where(_ratio(F.col("toxic"), F.col("clean"), n1, n0) >= need).collect()  # of a bounded sample
     entries: dict = {}
     # Purest first; among equals the more general.
     purity = lambda r: r["toxic"] / (r["clean"] + 0.5)
     for r in sorted(rows, key=lambda r: (-min(purity(r), 20.0), len(r["feature"].rstrip("*")), r["feature"])):
         f, a, b = r["feature"], r["toxic"], r["clean"]
-        covered = any(f[:n] + "*" in entries for n in STEMS if n < len(f.rstrip("*")) or f == f[:n] + "*")
-        if not covered and _ratio(a, b, n1, n0) >= need and len(entries) < ENTRIES:
+        if not any(f[:n] + "*" in entries for n in STEMS if n < len(f.rstrip("*")) or f == f[:n] + "*"):
             entries[f] = round(min(4.0, math.log(((a + 0.5) / (n1 + 1)) / ((b + 0.5) / (n0 + 1)))), 6)
     return entries
 
@@ -157,72 +171,117 @@ def lexicon_transducer(insults: dict) -> dict:
     return out
 
 
-class ClauseMachine:
-    """The composed clause transducer. Its state is, per component machine,
-    the words left in which it still bears on what follows."""
-
-    def __init__(self):
-        self.total = 0.0
-        self.matched = 0
-        self._reset()
-
-    def _reset(self):
-        self.negated = self.intense = self.near_target = -1
-        self.reported = False
-        self.pending = None  # (position, weight, is a threat) of a match that waits for a target
-
-    def _close(self):
-        if self.pending:
-            _, weight, threat = self.pending
-            self.total += weight * (0.25 if threat else 1.0)
-            self.matched += 1
-            self.pending = None
-
-    def read(self, at: int, kind: int, weight: float):
-        if self.pending and at - self.pending[0] > REACH:
-            self._close()
-        if kind == END:
-            self._close()
-            self._reset()
-        elif kind == NEGATION:
-            self.negated = at
-        elif kind == REPORT:
-            self.reported = True
-        elif kind == INTENSIFIER:
-            self.intense = at
-        elif kind == TARGET:
-            self.near_target = at
-            if self.pending:
-                self.total += self.pending[1] * (1.0 if self.pending[2] else TARGETED)
-                self.matched += 1
-                self.pending = None
-        else:
-            self._close()
-            if 0 <= at - self.negated <= REACH and self.negated >= 0:
-                weight *= NEGATED
-            if self.reported:
-                weight *= REPORTED
-            if self.intense >= 0 and at - self.intense <= 2:
-                weight *= INTENSE
-            threat = kind == THREAT
-            if self.near_target >= 0 and at - self.near_target <= REACH:
-                self.total += weight * (1.0 if threat else TARGETED)
-                self.matched += 1
+class Transducer:
+    """Deterministic and weighted: ``arcs`` maps (state, symbol read) to
+    (symbol written, weight, next state). It starts in state 0; a symbol
+    without an arc passes unchanged and the state stays."""
+
+    def __init__(self, arcs: dict):
+        self.arcs = arcs
+
+    def step(self, state: int, symbol: int) -> tuple:
+        return self.arcs.get((state, symbol)) or (symbol, 1.0, state)
+
+    def run(self, symbols) -> list:
+        """(symbol written, weight) of each symbol read."""
+        out, state = [], 0
+        for symbol in symbols:
+            written, weight, state = self.step(state, symbol)
+            out.append((written, weight))
+        return out
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """What ``first`` writes, ``second`` reads; states are the reachable pairs."""
+    numbers, arcs, todo = {(0, 0): 0}, {}, [(0, 0)]
+    while todo:
+        pair = todo.pop()
+        for symbol in ALPHABET:
+            between, weight, to_first = first.step(pair[0], symbol)
+            written, factor, to_second = second.step(pair[1], between)
+            to = (to_first, to_second)
+            if to not in numbers:
+                numbers[to] = len(numbers)
+                todo.append(to)
+            arcs[numbers[pair], symbol] = (written, weight * factor, numbers[to])
+    return Transducer(arcs)
+
+
+def within(opener: int, words: int, mark: int = 0, weight: float = 1.0, once: bool = False) -> Transducer:
+    """Matches among the ``words`` words after ``opener`` get the mark and the
+    weight, with ``once`` the first only. A state is the number of words left."""
+    arcs = {}
+    for left in range(words + 1):
+        for symbol in ALPHABET:
+            after = max(0, left - 1)
+            if symbol in (QUOTE_END, END):
+                arcs[left, symbol] = (symbol, 1.0, 0)
+            elif symbol == COMMA:
+                arcs[left, symbol] = (symbol, 1.0, left)
+            elif symbol == opener:
+                arcs[left, symbol] = (symbol, 1.0, words)
+            elif symbol in MATCHES:
+                arcs[left, symbol] = (symbol | mark, weight, 0 if once else after) if left else (symbol, 1.0, 0)
             else:
-                self.pending = (at, weight, threat)
-
-    def end(self) -> tuple:
-        self._close()
-        return self.total, self.matched
-
-
-def class_string(text: str, lexicon: dict, heads: set, stems: tuple):
-    """Yield (position, class, weight) of the words that matter, and a clause
-    end wherever punctuation or a line feed closes a clause between them."""
+                arcs[left, symbol] = (symbol, 1.0, after)
+    return Transducer(arcs)
+
+
+def report_before() -> Transducer:
+    """Matches after a reporting verb are quoted up to the clause end."""
+    arcs = {(0, REPORT): (REPORT, 1.0, 1), (1, END): (END, 1.0, 0), (1, QUOTE_END): (QUOTE_END, 1.0, 0)}
+    return Transducer(arcs | {(1, s): (s | QUOTED, 1.0, 1) for s in MATCHES})
+
+
+def report_behind() -> Transducer:
+    """Read from the right: a reporting verb at most TAG words behind a comma or
+    a closing quotation mark makes the clause before it quoted. States 1 to TAG
+    are the words left to the comma, TAG + 1 is inside the quoted clause."""
+    inside = TAG + 1
+    arcs = {(state, REPORT): (REPORT, 1.0, TAG) for state in range(inside)}
+    for left in range(1, inside):
+        arcs |= {(left, s): (s, 1.0, left - 1) for s in (OTHER, TARGET, NEGATION, INTENSIFIER)}
+        arcs |= {(left, s): (s, 1.0, 0) for s in (END, *MATCHES)}
+        arcs |= {(left, s): (s, 1.0, inside) for s in (COMMA, QUOTE_END)}
+    arcs |= {(inside, s): (s, 1.0, 0) for s in (END, QUOTE_END)}
+    return Transducer(arcs | {(inside, s): (s | QUOTED, 1.0, inside) for s in MATCHES})
+
+
+def clause() -> Transducer:
+    """The weight of a match by its marks."""
+    arcs = {}
+    for s in MATCHES:
+        kind, aimed = (THREAT if s & 15 == THREAT else INSULT), bool(s & AIMED)
+        weight = (TARGETED if aimed else 1.0) if kind == INSULT else (1.0 if aimed else AIMLESS)
+        arcs[0, s] = (kind, weight * (REPORTED if s & QUOTED else 1.0), 0)
+    return Transducer(arcs)
+
+
+def grammar() -> tuple:
+    """The composed transducers: from right to left, from left to right."""
+    return (compose(within(TARGET, REACH, AIMED, once=True), report_behind()),
+            reduce(compose, (within(NEGATION, REACH, weight=NEGATED), report_before(), within(INTENSIFIER, NEAR, weight=INTENSE),
+                             within(TARGET, REACH, AIMED), clause())))
+
+
+def _boundary(words: list) -> int:
+    """What closes between the first of ``words`` and the word behind them."""
+    found = OTHER
+    for w in words:
+        if _QUOTE_END.search(w):
+            found = max(found, QUOTE_END)
+        elif _CLAUSE_END.search(w):
+            return END
+        elif w[-1] == ",":
+            found = max(found, COMMA)
+    return found
+
+
+def class_string(text: str, lexicon: dict, heads: set, stems: tuple) -> list:
+    """(class, weight) of the words that matter, the commas and clause ends
+    between them, and as many other words as any machine counts."""
     raw = text.split()
     hits = [i for i, w in enumerate(raw) if w[:3] in heads or w[:3].lower() in heads or not w[0].isalnum()]
-    if not hits:
-        return
     events, weighty = [], False
     for i in hits:
         word = raw[i].lower().strip(_EDGE)
@@ -232,29 +291,44 @@ def class_string(text: str, lexicon: dict, heads: set, stems: tuple):
                 if len(word) > n and (entry := lexicon.get(word[:n] + "*")):
                     break
         if entry:
-            events.append((i, *entry))
+            events.append((i, entry))
             weighty |= entry[0] in (INSULT, THREAT)
     if not weighty:
-        return
-    last = 0
-    for i, kind, weight in events:
-        if any(_CLAUSE_END.search(w) for w in raw[last:i][-24:]) or i - last > 24:
-            yield i, END, 0.0
-        yield i, kind, weight
+        return []
+    out, last = [], 0
+    for i, entry in events:
+        boundary = END if i - last > 24 else _boundary(raw[last:i])
+        if boundary:
+            out.append((boundary, 1.0))
+        out += [(OTHER, 1.0)] * min(i - last - 1, REACH)
+        out.append(entry)
         last = i
+    return out
+
+
+def evidence(text: str | None, lexicon: dict, heads: set, stems: tuple, leftward: Transducer, rightward: Transducer) -> tuple:
+    """(evidence, matches) of a text."""
+    read = class_string(text or "", lexicon, heads, stems)
+    marked = leftward.run(kind for kind, _ in reversed(read))
+    weighed = rightward.run(symbol for symbol, _ in reversed(marked))
+    found = [entry[1] * left[1] * right[1] for entry, left, right in zip(read, reversed(marked), weighed)
+             if entry[0] in (INSULT, THREAT)]
+    return sum(found), len(found)
 
 
-def evidence(text: str | None, lexicon: dict, heads: set, stems: tuple) -> tuple:
-    machine = ClauseMachine()
-    for event in class_string(text or "", lexicon, heads, stems):
-        machine.read(*event)
-    return machine.end()
+def _heads(word: str) -> set:
+    """First three characters a word may have in a text; shorter words may
+    have punctuation behind them."""
+    heads = {word[:3]}
+    for _ in range(3 - len(word)):
+        heads |= {h + e for h in heads if len(h) < 3 for e in _EDGE}
+    return heads
 
 
 def _machine_parts(insults: dict) -> tuple:
     lexicon = lexicon_transducer(insults)
-    return (lexicon, {w.rstrip("*")[:3] for w in lexicon},
-            tuple(sorted({len(w) - 1 for w in lexicon if w.endswith("*")})))
+    return (lexicon, set().union(*(_heads(w.rstrip("*")) for w in lexicon)),
+            tuple(sorted({len(w) - 1 for w in lexicon if w.endswith("*")})), *grammar())
 
 
 def fit_curve(found: list) -> tuple:
