@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tallyspark.llm import topk
@@ -56,3 +57,32 @@ def test_pruning_is_proven():
     for qid, ids, scores in topk.search_block(np.arange(5), q, np.arange(500), segments, 4):
         s = [(-int(q[qid] @ m[j]), j) for j in range(500) if j != qid]
         assert list(zip((-scores).tolist(), ids.tolist())) == sorted(s)[:4]
+
+
+def test_few_postings_are_scored(spark):
+    """2,000 queries at once: each pair is proven out by itself, so most
+    postings of the block are never scored."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(0, 1, (20, 64))
+    m = centres[rng.integers(0, 20, 4000)] + rng.normal(0, .5, (4000, 64))
+    m = np.floor(256 * m / np.linalg.norm(m, axis=1)[:, None]).astype(np.int64)
+    block = topk._index_block(pd.DataFrame({"vec_id": np.arange(4000), "block": 0, "q": list(m)}))
+    segments = [(s.level, np.frombuffer(s.rows, np.int32), np.frombuffer(s.dims, np.int32), np.frombuffer(s.vals, np.int64),
+                 np.frombuffer(s.rest, np.float64)) for s in block.itertuples()]
+    ids, asked, work = np.arange(4000), np.arange(2000), {}
+    floors = topk.first_floors(asked, m[:2000], ids[3000:], m[3000:], 5)
+    found = {qid: list(zip(scores.tolist(), rows.tolist())) for qid, rows, scores in
+             topk.search_block(asked, m[:2000], ids, segments, 5, floors, work)}
+    scores = m[:2000] @ m.T
+    for i in asked:
+        want = sorted((-int(s), j) for j, s in enumerate(scores[i]) if j != i)[:5]
+        assert [(-s, j) for s, j in found[i]] == want
+    assert work["pairs"] == 2000 * 4000 and work["rescored"] < 0.1 * work["pairs"]
+    assert work["postings"] + 64 * work["rescored"] < 0.75 * 2000 * np.count_nonzero(m)
+
+
+def test_clashing_columns_and_repeated_rows(spark):
+    rows = [(i, [float(i % 7), 1.0], i % 3) for i in range(120)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    odd = df.selectExpr("*", "1 as q", "'x' as block", "2.5 as score", "label as rank")
+    assert sorted(map(tuple, topk.op2_topk(odd).collect())) == brute(rows)
