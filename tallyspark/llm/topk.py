@@ -220,10 +220,13 @@ def _per_block(rows: DataFrame, column: str, blocks: int) -> DataFrame:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, index_rows: int = INDEX_ROWS,
           query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) for quantised (vec_id, q) frames."""
-    blocks = max(1, -(-vectors.count() // index_rows))
+    rows = vectors.count()
+    blocks = max(1, -(-rows // index_rows))
     parts = max(1, -(-queries.count() // query_rows))
     index = stash(build_index(vectors, blocks), "topk-index")
-    seeds = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SEEDS).toPandas()  # at most SEEDS rows
+    # About SEEDS rows are left before they are put in order, so tasks send few to the driver.
+    some = vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(max(1, rows // SEEDS))) == 0)
+    seeds = some.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SEEDS).toPandas()  # at most SEEDS rows
     box = vectors.sparkSession.sparkContext.broadcast((seeds["vec_id"].to_numpy(np.int64), _matrix(seeds["q"])))
     asked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(parts))).groupBy("block").applyInPandas(_query_block(k, box), _PACKED)
     # Each index block meets each query block once: rows of both go to the pair's task.
