@@ -258,13 +258,13 @@ def links(docs: DataFrame, reps: DataFrame, width: int, percent: int, shingles:
     roots = components(first)
 
     placed = index.join(roots, "node", "left").select("sig", "node", "n", "own", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("sig")
     # Of two nodes of different components at least one lies outside the signature's largest component. These few
     # travel as one list per signature; each node gathers its lists, so that a pair that meets under many signatures
-    # is made once and the rows of the join are those of the index.
-    open_ = stash(placed.join(mixed, "sig"), "jaccard-open")
-    top = open_.groupBy("sig", "root").count().groupBy("sig").agg(F.max(F.struct("count", "root"))["root"].alias("top"))
-    open_ = open_.join(top, "sig").withColumn("outside", F.col("root") != F.col("top"))
+    # is made once and the rows of the join are those of the index: one count finds the signatures still in several
+    # components and the largest of these, so each row meets its signature's one row once.
+    top = placed.groupBy("sig", "root").count().groupBy("sig").agg(F.max(F.struct("count", "root"))["root"].alias("top"), F.count("*").alias("roots"))
+    top = top.where("roots > 1").select("sig", "top")
+    open_ = stash(placed.join(top, "sig").withColumn("outside", F.col("root") != F.col("top")), "jaccard-open")
     lists = open_.where("outside").groupBy("sig").agg(F.collect_list(F.struct("node", "n", "own", "root")).alias("others"))
     partners = F.transform(F.filter("others", lambda o: (o["root"] != F.col("root")) & (~F.col("outside") | (o["node"] < F.col("node")))
                                     & _enough(F.col("n"), F.col("own"), o["n"], percent) & _enough(o["n"], o["own"], F.col("n"), percent)), lambda o: o["node"])

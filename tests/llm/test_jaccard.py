@@ -88,3 +88,32 @@ def test_components(spark):
     rng.shuffle(edges)
     got = {r["node"]: r["root"] for r in jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, **{i: 100 for i in range(101, 140)}, 201: 200, 202: 200}
+
+
+def test_open_signatures_meet_their_components_once(make_docs, monkeypatch):
+    """The rows of open signatures are joined with what is known of their
+    signature once, and grow with a near-copy group, not with its square."""
+    written = {}
+
+    def keep(df, name, stash=jaccard.stash):
+        out = stash(df, name)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        written.setdefault(name, []).append((out.columns, out.count(), plan.count("Join Inner, (sig")))
+        return out
+    monkeypatch.setattr(jaccard, "stash", keep)
+    monkeypatch.setattr(jaccard, "RARE", 2)
+    for size in (40, 80):
+        rng, base = random.Random(3), [f"w{i}" for i in range(100)]
+        rows = []
+        for i in range(size):                                                    # every 8th is just out of reach
+            v = list(base)
+            at = rng.randrange(10, 50)
+            for at in (at, at + 30) if i % 8 == 0 else (at,):
+                v[at] = f"x{i}-{at}"
+            rows.append((i, " ".join(v)))
+        got = jaccard.near_duplicates(make_docs(rows)).select("doc_id", "n_shingles", "component_id")
+        assert sorted(map(tuple, got.collect())) == brute(rows, 5, 80)
+    columns, joins = ([x[at] for x in written["jaccard-open"]] for at in (0, 2))
+    rows = [x[1] for x in written["jaccard-open"]]
+    assert all("outside" in c for c in columns) and joins == [1, 1]
+    assert 0 < rows[1] <= 2.5 * rows[0]
