@@ -24,6 +24,9 @@ empty tables give no rows; extra columns are ignored (``clean`` keeps them).
 
 from __future__ import annotations
 
+import functools
+import re
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,39 +52,56 @@ UNITS = ("km m cm mm mile miles meter meters metre metres foot feet inch inches
          "l ml liter liters litre litres second seconds minute minutes hour hours day days week weeks month months year years "
          "dollar dollars euro euros cent cents percent degree degrees mph kmh").split()
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
+#: Stands before a capital; a sentence end, so no word has it.
+_CAPITAL = "."
+#: A word that begins with a capital but is its own lower-case form (such capitals have no small letter).
+_SAME_SMALL = r"[N](?:[N]|[^ \p{Lu}\p{Lt}Ⅰ-ⅯⒶ-Ⓩ])*+(?: |\z)".replace("N", r"ϒ-ϔℂℇℋ-ℍℐ-ℒℕℙ-ℝℤℨℬℭℰℱℳℾℿⅅ\x{1D400}-\x{1D7CA}&&\p{Lu}")
 
 
 def _marked(text: Column) -> Column:
     """The text with punctuation as spaces and sentence ends as marks."""
+    out = F.coalesce(text, F.lit(""))
+    # One pattern for the many characters of a byte, plain replacements for the others.
     other = _PUNCTUATION + "\t\n\x0b\f\r"
-    return F.translate(F.coalesce(text, F.lit("")), _SENTENCE_END + other, _STOP * len(_SENTENCE_END) + " " * len(other))
+    out = F.regexp_replace(out, f"[{re.escape(''.join(c for c in other if c < '\x80'))}]", " ")
+    for c in _SENTENCE_END + "".join(c for c in other if c >= "\x80"):
+        out = F.replace(out, F.lit(c), F.lit(_STOP if c in _SENTENCE_END else " "))
+    return out
 
 
-def _cut(text: Column) -> Column:
-    return F.split(F.trim(text), " +")
+def _cut(marked: Column) -> Column:
+    return F.split(F.trim(F.lower(F.replace(marked, F.lit(_STOP), F.lit("")))), " +")
 
 
 def raw_words(text: Column) -> Column:
-    return _cut(F.lower(F.translate(_marked(text), _STOP, "")))
+    return _cut(_marked(text))
 
 
-def template_words(text: Column) -> Column:
-    """As many words as ``raw_words`` has, with placeholders."""
-    # A name begins with a capital and goes on small, and the word before ends no sentence.
-    canon = F.regexp_replace(_marked(text), rf"(?<=[^{_STOP} ] {{1,3}})\p{{Lu}}\p{{Ll}}[^ {_STOP}]*", NAME)
-    words = _cut(F.lower(F.translate(canon, _STOP, "")))
-    return F.transform(words, lambda w: F.when(((w >= "0") & (w < ":")) | w.isin(NUMBER_WORDS), NUMBER).when(w.isin(UNITS), UNIT).otherwise(w))
+def cut_words(text: Column) -> Column:
+    """As many words as ``raw_words`` has: names inside a sentence are
+    placeholders, other words with a capital have a mark before them."""
+    # A name begins with a capital and goes on small, and the word before ends no sentence. The capital is looked for
+    # first: few places have one.
+    canon = F.regexp_replace(_marked(text), rf"(?=\p{{Lu}})(?<=[^{_STOP} ] {{1,3}})\p{{Lu}}\p{{Ll}}[^ {_STOP}]*", NAME)
+    whole = F.replace(canon, F.lit(_STOP), F.lit(""))
+    return _cut(F.regexp_replace(whole, rf"(?=\p{{Lu}})(?<![^ ])(?!{_SAME_SMALL})(?=\p{{Lu}}\p{{Ll}})", _CAPITAL))
 
 
-def cased_words(text: Column) -> Column:
-    """``raw_words`` with their capitals."""
-    return _cut(F.translate(_marked(text), _STOP, ""))
+def _read(word: Column, reading: int, number: Column, name: Column, unit: Column, other) -> Column:
+    """The word of ``cut_words`` in a reading: one of the three placeholders
+    given, or what ``other`` makes of it."""
+    def kind(w: Column) -> Column:
+        listed = F.when(w.isin(NUMBER_WORDS), number).otherwise(unit)
+        return F.when((w >= "0") & (w < ":"), number).when(w.isin(NUMBER_WORDS + UNITS), listed).otherwise(other(w))
+    if reading == 0:
+        return F.when(word.startswith(_CAPITAL), kind(F.substring(word, 2, 1 << 30))).otherwise(kind(word))
+    return F.when(word.startswith(_CAPITAL) | word.startswith(NAME), name).otherwise(kind(word))
 
 
-def _all_named(canon: Column, cased: Column) -> Column:
-    """Reading 1 of the template words."""
-    # A word that equals its lower-case form has no capital: most need no pattern.
-    return F.zip_with(canon, cased, lambda a, c: F.when((a != c) & c.rlike(r"^\p{Lu}\p{Ll}"), NAME).otherwise(a))
+def template_words(words: Column, reading: int) -> Column:
+    """The template words of ``cut_words``: names are those inside a sentence
+    (0), or all words with a capital (1)."""
+    return F.transform(words, lambda w: _read(w, reading, F.lit(NUMBER), F.lit(NAME), F.lit(UNIT), lambda x: x))
 
 
 def _window_hashes(words: str, df: DataFrame, lengths: list) -> DataFrame:
@@ -90,11 +110,12 @@ def _window_hashes(words: str, df: DataFrame, lengths: list) -> DataFrame:
     from the halves' hashes, others from these."""
     if f"{words}_1" not in df.columns:
         df = df.withColumn(f"{words}_1", F.transform(words, lambda w: F.xxhash64(w)))
+    size = F.size(f"{words}_1")
 
     def joined(left: int, right: int) -> Column:
-        both = F.zip_with(f"{words}_{left}", F.slice(f"{words}_{right}", left + 1, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.xxhash64(a, b))
+        both = F.zip_with(f"{words}_{left}", F.slice(f"{words}_{right}", left + 1, F.greatest(size, F.lit(1))), lambda a, b: F.xxhash64(a, b))
         # zip_with fills the shorter side up with nulls: only whole runs count.
-        return F.slice(both, 1, F.greatest(F.size(words) - (left + right - 1), F.lit(0)))
+        return F.slice(both, 1, F.greatest(size - (left + right - 1), F.lit(0)))
     done, width = {1}, 1
     while width * 2 <= max(lengths):
         df, width = df.withColumn(f"{words}_{width * 2}", joined(width, width)), width * 2
@@ -118,8 +139,8 @@ def item_windows(items: DataFrame) -> DataFrame:
     """(item_id, item_row, length, windows, item_at, hash, item_readings, item_raw): an
     item's joined windows in their readings, and their number. Windows of
     fewer than ``LEAST_PLAIN`` words beside placeholders say nothing and are left out."""
-    t = items.select("item_id", F.xxhash64("text").alias("item_row"), template_words(F.col("text")).alias("canon"), cased_words(F.col("text")).alias("cased"), raw_words(F.col("text")).alias("raw"))
-    t = t.withColumn("named", _all_named(F.col("canon"), F.col("cased")))
+    t = items.select("item_id", F.xxhash64("text").alias("item_row"), cut_words(F.col("text")).alias("words"), raw_words(F.col("text")).alias("raw"))
+    t = t.select("item_id", "item_row", "raw", *[template_words(F.col("words"), r).alias(c) for r, c in enumerate(("canon", "named"))])
     t = t.withColumn("n", F.size("canon")).where(F.col("n") >= LEAST_WORDS)
     t = t.withColumn("length", F.least(F.col("n"), F.lit(WINDOW)))
     last = F.col("n") - F.col("length") + 1
@@ -153,8 +174,9 @@ def _hash_bits(hashes: DataFrame, n: int) -> np.ndarray:
 def _among(hash: Column, bits: np.ndarray) -> Column:
     """Whether the hash may be among those of ``bits``."""
     def bit(h: Column) -> Column:
-        at = F.pmod(h, F.lit(64 * len(bits)))
-        return F.getbit(F.get(F.lit(bits), F.shiftright(at, 6).cast("int")), (at % 64).cast("int")) == 1
+        # The number of bits is a power of two.
+        at = F.shiftright(h.bitwiseAND(F.lit(64 * len(bits) - 1)), 6)
+        return F.getbit(F.get(F.lit(bits), at.cast("int")), h.bitwiseAND(F.lit(63)).cast("int")) == 1
     return bit(hash) & bit(F.shiftright(hash, 32))
 
 
@@ -165,13 +187,13 @@ def document_windows(docs: DataFrame, lengths: list, bits: np.ndarray) -> DataFr
     # What a lambda reads again and again is a column used twice, so that it is worked out once a row. For the
     # same reason no filter stands on these columns (it would be pushed below them, words and all): the outer
     # explode gives a null row instead.
-    t = docs.select("doc_id", F.xxhash64("text").alias("row"), "text", template_words(F.col("text")).alias("canon"), cased_words(F.col("text")).alias("cased"))
-    t = t.select("doc_id", "row", "text", "canon", _all_named(F.col("canon"), F.col("cased")).alias("named"))
-    t = _window_hashes("canon", t, lengths)
+    t = docs.select("doc_id", F.xxhash64("text").alias("row"), "text", cut_words(F.col("text")).alias("words"))
+    number, name, unit = (F.xxhash64(F.lit(w)) for w in (NUMBER, NAME, UNIT))
+    t = t.withColumn("canon_1", F.transform("words", lambda w: _read(w, 0, number, name, unit, F.xxhash64)))
     # The readings differ in names only, so reading 1 takes most word hashes over.
-    name = F.xxhash64(F.lit(NAME))
-    t = t.withColumn("named_1", F.zip_with("canon_1", "named", lambda h, w: F.when(w == NAME, name).otherwise(h)))
-    t = _window_hashes("named", t, lengths)
+    t = t.withColumn("named_1", F.zip_with("canon_1", "words", lambda h, w: F.when(w.startswith(_CAPITAL) | w.startswith(NAME), name).otherwise(h)))
+    for reading in ("canon", "named"):
+        t = _window_hashes(reading, t, lengths)
 
     def starts_of(length: int, reading: int) -> Column:
         def start(h: Column, i: Column) -> Column:
@@ -179,8 +201,12 @@ def document_windows(docs: DataFrame, lengths: list, bits: np.ndarray) -> DataFr
             return F.when(wanted, F.struct((i + 1).alias("at"), F.lit(length).alias("length"), F.lit(reading).alias("reading"), h.alias("hash")))
         return F.array_compact(F.transform(f"{'named' if reading else 'canon'}_{length}", start))
 
-    t = t.select("doc_id", "row", "text", "canon", "named", F.concat(*[starts_of(n, r) for n in lengths for r in (0, 1)]).alias("starts"))
-    t = t.select("doc_id", "row", "canon", "named", "starts", F.when(F.size("starts") > 0, raw_words(F.col("text"))).alias("raw"))
+    # Few documents have such windows: only these need their places and the words themselves.
+    met = functools.reduce(Column.__or__, [F.exists(f"{c}_{n}", lambda h: _among(h, bits)) for n in lengths for c in ("canon", "named")])
+    t = t.withColumn("starts", F.when(met, F.concat(*[starts_of(n, r) for n in lengths for r in (0, 1)])))
+    some = lambda c: F.when(F.size("starts") > 0, c)
+    t = t.select("doc_id", "row", "starts", some(raw_words(F.col("text"))).alias("raw"),
+                 *[some(template_words(F.col("words"), r)).alias(c) for r, c in enumerate(("canon", "named"))])
 
     def window(s: Column) -> Column:
         plain, named = F.slice("canon", s["at"], s["length"]), F.slice("named", s["at"], s["length"])

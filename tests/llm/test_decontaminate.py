@@ -1,4 +1,9 @@
+import random
+import re
+
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspark.llm import decontaminate as dec
 
@@ -68,3 +73,33 @@ def test_rows_without_or_of_one_id_are_their_own(spark, make_docs):
     docs = make_docs([(None, ITEM), (None, fine), (None, ITEM.replace("12", "7")), (1, fine), (1, ITEM.replace("Anna", "Maria")), (1, ITEM.replace("Anna", "Laura"))])
     assert sorted((r["doc_id"] is None, r["text"]) for r in dec.clean(docs, items(spark, [(1, ITEM)])).collect()) == [(False, fine), (True, fine)]
     assert dec.contaminated(docs, items(spark, [(1, ITEM), (1, "other words that stand for nothing here")])).count() == 4
+
+
+def test_readings_of_odd_words(spark):
+    """Both readings and the plain words against the definitions."""
+    stop, other = ".!?", dec._PUNCTUATION + "\t\n\x0b\f\r"
+    rng = random.Random(4)
+    parts = ["Anna", "anna", "ANNA", ".", "!", " ", "   ", "    ", ",", "\n", "5", "Zwei", "cent", "Cents", "Km", "\x1e", "\x1fZo", "a.Bo", "A.bo", "Bo.Co",
+             "$5", "Éa", "<name>", "…", "“Ab”", "\U0001f600Ab", "the", "ℂn", "ℂnA"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " ", " "]) for _ in range(rng.randrange(0, 25))) for _ in range(400)] + [None, "", " ", "."]
+
+    def expected(text):
+        marked = "".join("\x1f" if c in stop else " " if c in other else c for c in text or "")
+        named = re.sub(r"(?:(?<=[^\x1f ] )|(?<=[^\x1f ]  )|(?<=[^\x1f ]   ))(?=\w)[^\W\d_]+[^ \x1f]*",
+                       lambda m: dec.NAME if m[0][0].isupper() and m[0][1:2].islower() else m[0], marked)
+        cut = lambda t: re.split(" +", t.replace("\x1f", "").strip(" "))
+        kind = lambda w: dec.NUMBER if "0" <= w < ":" or w in dec.NUMBER_WORDS else dec.UNIT if w in dec.UNITS else w
+        canon = [kind(w.lower()) for w in cut(named)]
+        cased = cut(marked)
+        return canon, [dec.NAME if a != c and c[:1].isupper() and c[1:2].islower() else a for a, c in zip(canon, cased)], [w.lower() for w in cased]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("words", dec.cut_words(F.col("text")))
+    for r in df.select("text", dec.template_words(F.col("words"), 0), dec.template_words(F.col("words"), 1), dec.raw_words(F.col("text"))).collect():
+        assert tuple(r[1:]) == expected(r[0]), r[0]
+
+
+def test_a_document_is_cut_into_words_once(spark, make_docs):
+    """Twice before, and a third time for the plain words of documents with
+    windows of an item."""
+    windows = dec.document_windows(make_docs([(1, ITEM)]), [6], np.zeros(256, np.int64))
+    plan = windows._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"\bsplit\(", plan)) == 2
