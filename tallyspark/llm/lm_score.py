@@ -4,9 +4,11 @@ Word and word-pair counts of all training texts are gathered by code bucket.
 Each bucket becomes a filter segment: an n-gram of count c is stored as the
 keys (code, 1) ... (code, q) with q = 1 + floor(log_BASE(c)), so probing
 (code, 1), (code, 2), ... until one is absent reads its count back, rounded
-down. Segments have about ``BUCKET_BYTES`` of text behind them and are broadcast
-one by one; a task takes its words in blocks and meets one segment at a time,
-so neither the driver nor a task ever holds the whole filter.
+down. Segments have about ``BUCKET_BYTES`` of text behind them (twice that at
+most, training or not). No filter leaves its task: texts are packed into blocks,
+each block sends its distinct codes to their buckets' tasks, which build the
+segment, probe it for every block and send a byte a code back. The driver sees
+totals only, and a task one segment or one block at a time.
 
 Every word and pair is stored, those seen once too, and there is a level for
 every count that 64 bits hold. The smoothed probability of word w
@@ -17,8 +19,10 @@ after h (h: the end token before the first word) is::
 with rounded counts from the filter; word(h) is taken one step up, so that the
 probabilities after h never sum to more than 1 (but for false positives).
 
-``base_score`` is the exact add-``ADD`` unigram score: at most ``TOP`` most
-frequent words' counts are broadcast, all others are joined by shuffle.
+The at most ``TOP`` most frequent words enter with their exact counts.
+
+``base_score`` is the exact add-``ADD`` unigram score; the exact counts of words
+come back beside their levels.
 
 Defined results: null text is empty; an empty text has the end token alone; a
 null id is not held out; repeated rows are scored each; without training texts
@@ -32,12 +36,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stash
-from .textcodes import chunks, mix, word_codes
+from .textcodes import mix, word_codes
 
 ADD = 0.1
 PRIOR = 8.0
@@ -47,12 +52,16 @@ LEVELS = 108
 HASHES, BITS_PER_KEY = 5, 10
 TOP = 1 << 19
 BUCKET_BYTES = 16 << 20
-#: Words that a task holds at once.
+#: Words that a block holds, at some six characters a word.
 BLOCK_WORDS = 2_000_000
+#: Bytes that a task sends at once.
+SEND_BYTES = 4 << 20
 END = np.uint64(0x5EED_0E7D_0E7D_5EED)
 
-_GRAMS = "kind int, bucket long, codes binary, counts binary"
-_SEGMENT = "kind int, bucket long, codes binary, counts binary, types long, tokens long, at_least array<long>, size long, bits binary"
+_BLOCKS = "block long, ids binary, named binary, known binary, sizes binary, octets long, known_octets long, texts binary"
+_GRAMS = "block long, kind int, bucket long, codes binary, counts binary"
+_FOUND = "block long, kind int, bucket long, levels binary, counts binary, types long, tokens long, at_least array<long>"
+_SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
 def held_out(doc_id: Column, parts: int = 10) -> Column:
@@ -118,48 +127,105 @@ def probe(codes: np.ndarray, size: int, bits: bytes) -> np.ndarray:
     return level
 
 
-def count_grams(docs: DataFrame, buckets: int) -> DataFrame:
-    """Segments (rows of _SEGMENT) of the words (kind 0) and pairs (kind 1) of
-    ``docs``; words also with their exact codes and counts."""
-    def flush(held: list) -> Iterator[pd.DataFrame]:
-        for kind, arrays in enumerate(zip(*held)):
-            codes, counts = np.unique(np.concatenate(arrays), return_counts=True)
-            bucket = codes % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-            for b in range(buckets):
-                part = order[cuts[b]:cuts[b + 1]]
-                if len(part):
-                    yield pd.DataFrame({"kind": kind, "bucket": b, "codes": [codes[part].tobytes()], "counts": [counts[part].astype(np.uint32).tobytes()]})
-
+def pack(docs: DataFrame, known: Column) -> DataFrame:
+    """``docs`` as blocks (rows of _BLOCKS): ids, whether they are given,
+    whether the row is for training, bytes of each text and all texts."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, words = [], 0
+        block, held, size = np.int64(TaskContext.get().partitionId()) << 40, [], 0
         for pdf in batches:
-            for block in chunks(pdf):
-                tokens, before, _ = _tokens(block["text"].tolist())
-                held.append((tokens, _pairs(before, tokens)))
-                words += len(tokens)
-                if words >= BLOCK_WORDS:
-                    yield from flush(held)
-                    held, words = [], 0
+            for row in zip(pdf["doc_id"], pdf["named"], pdf["known"], pdf["text"]):
+                held.append(row)
+                size += len(row[3]) + 64  # rows without text fill a block, too
+                if size >= 6 * BLOCK_WORDS:
+                    yield one(block, held)
+                    block, held, size = block + 1, [], 0
         if held:
-            yield from flush(held)
+            yield one(block, held)
+
+    def one(block: int, held: list[tuple]) -> pd.DataFrame:
+        ids, named, known, texts = zip(*held)
+        coded = [t.encode("utf-8", "surrogatepass") for t in texts]
+        sizes, train = np.array([len(t) for t in coded], np.int64), np.array(known, bool)
+        return pd.DataFrame({"block": block, "ids": [np.array(ids, np.int64).tobytes()], "named": [np.array(named, bool).tobytes()], "known": [train.tobytes()],
+                             "sizes": [sizes.tobytes()], "octets": sizes.sum(), "known_octets": sizes[train].sum(),
+                             "texts": [pa.compress(b"".join(coded), codec="zstd", asbytes=True)]})
+
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(F.coalesce(doc_id, F.lit(0)).alias("doc_id"), doc_id.isNotNull().alias("named"), F.coalesce(known, F.lit(False)).alias("known"),
+                       F.coalesce("text", F.lit("")).alias("text")).mapInPandas(emit, _BLOCKS)
+
+
+def _unpack(sizes: bytes, texts: bytes) -> list[str]:
+    ends = np.cumsum(np.frombuffer(sizes, np.int64)).tolist()
+    data = pa.decompress(texts, decompressed_size=ends[-1], codec="zstd", asbytes=True)
+    return [data[a:b].decode("utf-8", "surrogatepass") for a, b in zip([0, *ends], ends)]
+
+
+def _spread(codes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct codes, the place of each of ``codes`` among them, their order by
+    bucket and code, and where in that order buckets begin."""
+    distinct, back = np.unique(codes, return_inverse=True)
+    bucket = distinct % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    return distinct, back, order, np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+
+
+def _squeeze(codes: np.ndarray, buckets: int) -> bytes:
+    """Rising codes of one bucket as steps, most significant bytes together:
+    these are mostly 0 and cost nothing once compressed."""
+    steps = np.diff(codes // np.uint64(buckets), prepend=np.uint64(0))
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _expand(data: bytes, bucket: int, buckets: int) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+    return np.cumsum(steps, dtype=np.uint64) * np.uint64(buckets) + np.uint64(bucket)
+
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+def count_grams(blocks: DataFrame, buckets: int) -> DataFrame:
+    """The distinct words (kind 0) and pairs (kind 1) of each block by bucket
+    (rows of _GRAMS), with their counts in the block's training texts."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for pdf in batches:
+            for block, known, sizes, texts in zip(pdf["block"], pdf["known"], pdf["sizes"], pdf["texts"]):
+                tokens, before, counts = _tokens(_unpack(sizes, texts))
+                train = np.repeat(np.frombuffer(known, bool), counts)
+                for kind in (0, 1):
+                    codes, back, order, cuts = _spread(tokens if kind == 0 else _pairs(before, tokens), buckets)
+                    times = np.bincount(back[train], minlength=len(codes)).astype(np.uint32)
+                    for b in np.flatnonzero(np.diff(cuts)).tolist():
+                        part = order[cuts[b]:cuts[b + 1]]
+                        held.append((block, kind, b, _squeeze(codes[part], buckets), times[part].tobytes()))
+                        size += 12 * len(part)
+                        if size >= SEND_BYTES:
+                            yield pd.DataFrame(held, columns=[c.split()[0] for c in _GRAMS.split(", ")])
+                            held, size = [], 0
+        if held:
+            yield pd.DataFrame(held, columns=[c.split()[0] for c in _GRAMS.split(", ")])
+
+    return blocks.select("block", "known", "sizes", "texts").mapInPandas(run, _GRAMS)
+
+
+def look_up(grams: DataFrame, buckets: int) -> DataFrame:
+    """The level of each block's codes in their bucket's segment, for words also
+    the exact counts (rows of _FOUND); for a bucket of words a row of its types,
+    tokens and numbers of words by least count, without a block."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
         kind, bucket = int(pdf["kind"].iloc[0]), int(pdf["bucket"].iloc[0])
-        codes = np.concatenate([np.frombuffer(b, np.uint64) for b in pdf["codes"]])
-        counts = np.concatenate([np.frombuffer(b, np.uint32) for b in pdf["counts"]]).astype(np.int64)
-        order = np.argsort(codes)
-        codes, counts = codes[order], counts[order]
-        first = np.flatnonzero(np.diff(codes, prepend=codes[0] ^ np.uint64(1)) != 0)
-        codes, counts = codes[first], np.add.reduceat(counts, first)
-        size, bits = build_segment(codes, counts)
-        at_least = [int((counts >= _threshold(i)).sum()) for i in range(64)] if kind == 0 else []
-        own = kind == 0
-        return pd.DataFrame([(kind, bucket, codes.tobytes() if own else b"", counts.tobytes() if own else b"", len(codes), int(counts.sum()), at_least, size, bits)],
-                            columns=[c.split()[0] for c in _SEGMENT.split(", ")])
+        asked = [_expand(b, bucket, buckets) for b in pdf["codes"]]
+        cuts = np.cumsum([0] + [len(a) for a in asked]).tolist()
+        codes, back = np.unique(np.concatenate(asked), return_inverse=True)
+        counts = np.bincount(back, weights=np.concatenate([np.frombuffer(b, np.uint32) for b in pdf["counts"]])).astype(np.int64)
+        stored = counts > 0
+        level = probe(codes, *build_segment(codes[stored], counts[stored])).astype(np.uint8)[back]
+        times = counts[back] if kind == 0 else counts[:0]
+        out = [(block, kind, bucket, level[a:b].tobytes(), times[a:b].tobytes(), None, None, None) for block, a, b in zip(pdf["block"], cuts, cuts[1:])]
+        if kind == 0:
+            out.append((None, kind, bucket, b"", b"", int(stored.sum()), int(counts.sum()), [int((counts >= _threshold(i)).sum()) for i in range(64)]))
+        return pd.DataFrame(out, columns=[c.split()[0] for c in _FOUND.split(", ")]).astype({"block": "Int64", "types": "Int64", "tokens": "Int64"})
 
-    return docs.select("text").mapInPandas(emit, _GRAMS).groupBy("kind", "bucket").applyInPandas(merge, _SEGMENT)
+    return grams.groupBy("kind", "bucket").applyInPandas(run, _FOUND)
 
 
 def _threshold(i: int) -> int:
@@ -167,130 +233,67 @@ def _threshold(i: int) -> int:
 
 
 class Model:
-    """What scoring needs: totals, the frequent words' counts and one broadcast
-    per filter segment. ``words`` is the written table of word segments."""
-
-    def __init__(self, docs: DataFrame, buckets: int):
-        self.buckets = buckets
-        segments = stash(count_grams(docs, buckets), "lm-segments")
-        self.words = segments.where("kind = 0")
-        total = self.words.agg(F.sum("types"), F.sum("tokens")).first()
+    """What scoring needs: written tables of the blocks and of what their codes
+    found, and on the driver totals only."""
+
+    def __init__(self, blocks: DataFrame, buckets: int):
+        self.blocks, self.buckets = blocks, buckets
+        found = stash(look_up(count_grams(blocks, buckets), buckets), "lm-found")
+        self.found = found.where("block is not null").select("block", "kind", "bucket", "levels", "counts")
+        words = found.where("block is null")
+        total = words.agg(F.sum("types"), F.sum("tokens")).first()
         self.types, self.tokens = total[0] or 0, total[1] or 0
-        ranks = self.words.select(F.posexplode("at_least").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).collect()  # 64 rows
+        ranks = words.select(F.posexplode("at_least").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).collect()  # 64 rows
+        #: Words of this count or more, TOP at most, enter with their exact counts.
         self.least = min((_threshold(r["i"]) for r in ranks if r["n"] <= TOP), default=1)
-        context = docs.sparkSession.sparkContext
-        self.top = context.broadcast(self._frequent())
-        # One segment at a time passes through the driver.
-        self.segments = [((r["kind"], r["bucket"], r["size"]), context.broadcast(bytes(r["bits"])))
-                         for r in segments.select("kind", "bucket", "size", "bits").toLocalIterator()]
-
-    def _frequent(self) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted codes, and counts, of the at most TOP words of count ``least`` or more."""
-        least = self.least
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for codes, counts in zip(pdf["codes"], pdf["counts"]):
-                    codes, counts = np.frombuffer(codes, np.uint64), np.frombuffer(counts, np.int64)
-                    keep = counts >= least
-                    yield pd.DataFrame({"codes": [codes[keep].tobytes()], "counts": [counts[keep].tobytes()]})
-
-        rows = self.words.select("codes", "counts").mapInPandas(run, "codes binary, counts binary").collect()
-        codes = np.frombuffer(b"".join(r["codes"] for r in rows), np.uint64)
-        counts = np.frombuffer(b"".join(r["counts"] for r in rows), np.int64)
-        order = np.argsort(codes)
-        return codes[order], counts[order]
-
-    def counts(self) -> DataFrame:
-        """(code, count) of every training word."""
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for codes, counts in zip(pdf["codes"], pdf["counts"]):
-                    yield pd.DataFrame({"code": np.frombuffer(codes, np.int64), "count": np.frombuffer(counts, np.int64)})
-        return self.words.select("codes", "counts").mapInPandas(run, "code long, count long")
-
-
-def train(docs: DataFrame) -> Model:
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return Model(docs, max(1, int(size // BUCKET_BYTES)))
-
-
-def _unseen(value):
-    """Value of a broadcast, without keeping it in the worker."""
-    out = value.value
-    value.__dict__.pop("_value", None)
-    return out
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, base_score, score) of each row."""
-    top, segments, buckets, least = model.top, model.segments, model.buckets, model.least
+
+
+def train(docs: DataFrame, known: Column) -> Model:
+    """The model of the rows of ``docs`` that are ``known``, and what all rows find in it."""
+    blocks = stash(pack(docs, known), "lm-blocks")
+    size = blocks.agg(F.sum("known_octets"), F.sum("octets")).first()
+    # The second: texts that are not for training must not crowd few segments.
+    return Model(blocks, max(1, int((size[0] or 0) // BUCKET_BYTES), int((size[1] or 0) // (2 * BUCKET_BYTES))))
+
+
+def score(model: Model) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, base_score, score) of each row of the model's blocks."""
+    buckets, least = model.buckets, model.least
     total = model.tokens + ADD * (model.types + 1)
 
-    def levels(kind: int, codes: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(codes), np.int64)
-        bucket = codes % np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-        for (of_kind, b, size), bits in segments:
-            part = order[cuts[b]:cuts[b + 1]]
-            if of_kind == kind and len(part):
-                out[part] = probe(codes[part], size, _unseen(bits))
+    def put(found: pd.DataFrame, column: str, dtype: type, order: np.ndarray) -> np.ndarray:
+        values = np.frombuffer(b"".join(found[column]), dtype)
+        if len(values) != len(order):
+            raise ValueError(f"{len(values)} {column} for {len(order)} codes")
+        out = np.empty(len(order), np.int64)
+        out[order] = values
         return out
 
-    def judge(ids: list, texts: list, task: int, first: int) -> Iterator[pd.DataFrame]:
-        tokens, before, counts = _tokens(texts)
-        word, back = np.unique(tokens, return_inverse=True)
-        level = levels(0, word)
-        low, high = level_count(level), np.where(level > 0, level_count(level + 1) - 1, 0.0)
-        codes, known = top.value
-        at = np.minimum(np.searchsorted(codes, word), max(len(codes) - 1, 0))
-        exact = codes[at] == word if len(codes) else np.zeros(len(word), bool)
-        true = np.where(exact, known[at], 0) if len(codes) else np.zeros(len(word))
-        low, high = np.where(exact, true, low), np.where(exact, true, high)
-        pair, pair_back = np.unique(_pairs(before, tokens), return_inverse=True)
-        seen = level_count(levels(1, pair))[pair_back]
+    def judge(blocks: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        ids, named, sizes, texts = blocks[["ids", "named", "sizes", "texts"]].iloc[0]
+        tokens, before, counts = _tokens(_unpack(sizes, texts))
+        found = found.sort_values("bucket")
+        words, pairs = found[found["kind"] == 0], found[found["kind"] == 1]
+        word, back, order, _ = _spread(tokens, buckets)
+        level, true = put(words, "levels", np.uint8, order), put(words, "counts", np.int64, order)
+        exact = (true > 0) & (true >= least)
+        low = np.where(exact, true, level_count(level))
+        high = np.where(exact, true, np.where(level > 0, level_count(level + 1) - 1, 0.0))
+        _, pair_back, order, _ = _spread(_pairs(before, tokens), buckets)
+        seen = level_count(put(pairs, "levels", np.uint8, order))[pair_back]
         # The first token of each text follows the end token, which is among the words.
-        owner = np.repeat(np.arange(len(texts)), counts)
+        owner = np.repeat(np.arange(len(counts)), counts)
         previous = np.searchsorted(word, before)
         p = (np.minimum(seen, high[previous]) + PRIOR * (low[back] + ADD) / total) / (high[previous] + PRIOR)
-        frequent = exact[back]
-        add = lambda x: np.bincount(owner, weights=x, minlength=len(texts))
-        base = add(np.where(frequent, np.log10((true[back] + ADD) / total), 0.0))
-        rows = (np.int64(task) << 40) + first + np.arange(len(texts))
-        yield pd.DataFrame({"row": rows, "doc_id": pd.array(ids, dtype="Int64"), "n_tokens": counts, "n_known": add(frequent).astype(np.int64),
-                            "base": base, "score": add(np.log10(p)), "code": pd.array([None] * len(texts), dtype="Int64"), "times": 0})
-        # Words beyond the frequent ones: their exact counts are joined.
-        rest, times = np.unique(np.stack([owner[~frequent].astype(np.uint64), tokens[~frequent]]), axis=1, return_counts=True)
-        yield pd.DataFrame({"row": rows[rest[0].astype(np.int64)], "doc_id": pd.array([None] * len(times), dtype="Int64"), "n_tokens": 0, "n_known": 0,
-                            "base": 0.0, "score": 0.0, "code": rest[1].view(np.int64), "times": times})
+        add = lambda x: np.bincount(owner, weights=x, minlength=len(counts))
+        return pd.DataFrame({"doc_id": pd.arrays.IntegerArray(np.frombuffer(ids, np.int64).copy(), ~np.frombuffer(named, bool)), "n_tokens": counts,
+                             "n_known": add(true[back] > 0).astype(np.int64), "base_score": add(np.log10((true + ADD) / total)[back]), "score": add(np.log10(p))})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        task, first, ids, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
-        for pdf in batches:
-            for doc_id, text in zip(pdf["doc_id"].astype("Int64"), pdf["text"]):
-                ids.append(doc_id)
-                texts.append(text)
-                size += len(text or "")
-                if size >= 6 * BLOCK_WORDS:
-                    yield from judge(ids, texts, task, first)
-                    first, ids, texts, size = first + len(ids), [], [], 0
-        if ids:
-            yield from judge(ids, texts, task, first)
-
-    schema = "row long, doc_id long, n_tokens long, n_known long, base double, score double, code long, times long"
-    made = stash(docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, schema), "lm-parts")
-    rest = made.where("code is not null").select("row", "code", "times")
-    found = rest.join(model.counts().where(F.col("count") < least), "code", "left")
-    c = F.coalesce(F.col("count"), F.lit(0))
-    more = found.groupBy(F.col("row").alias("of")).agg(
-        F.sum(F.col("times") * F.log10((c + ADD) / F.lit(total))).alias("more_base"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"))
-    whole = made.where("code is null").join(more, F.col("row") == F.col("of"), "left")
-    return whole.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens",
-                        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-                        (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), "score")
+    blocks = model.blocks.select("block", "ids", "named", "sizes", "texts")
+    rows = blocks.groupBy("block").cogroup(model.found.groupBy("block")).applyInPandas(judge, _SCORES)
+    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "base_score", "score")
 
 
 def op5_lm(docs: DataFrame) -> DataFrame:
-    model = train(docs.where(~held_out(F.col("doc_id"))))
-    return score(docs, model).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    model = train(docs, ~held_out(F.col("doc_id")))
+    return score(model).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

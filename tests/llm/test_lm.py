@@ -69,3 +69,43 @@ def test_empty_and_only_held_out(make_docs):
     r = lm.op5_lm(make_docs([(alone, "a b")])).first()
     assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (3, 0, 0)
     assert r["base_score"] == pytest.approx(0.0, abs=1e-9)             # 0.1 / 0.1 for every token
+
+
+@pytest.mark.parametrize("bucket", [500, 5000])
+def test_driver_gets_totals_only_however_many_segments(make_docs, spark, monkeypatch, bucket):
+    monkeypatch.setattr(lm, "BUCKET_BYTES", bucket)
+    docs, sent, fetched = make_docs(ROWS), [], []
+    context, frame = type(spark.sparkContext), type(spark.range(0))
+    broadcast = context.broadcast
+    monkeypatch.setattr(context, "broadcast", lambda self, value: sent.append(value) or broadcast(self, value))
+    for name in ("collect", "toLocalIterator"):
+        def fetch(self, *args, real=getattr(frame, name), kind=list if name == "collect" else iter, **kwargs):
+            rows = list(real(self, *args, **kwargs))
+            fetched.extend(rows)
+            return kind(rows)
+        monkeypatch.setattr(frame, name, fetch)
+    out = lm.op5_lm(docs)
+    assert not sent and len(fetched) <= 70 and not any(isinstance(v, (bytes, bytearray)) for r in fetched for v in r)
+    assert out.count() == len(ROWS)
+
+
+def test_blocks_and_buckets_change_no_exact_column(make_docs, monkeypatch):
+    rows = ROWS + [(2 ** 62 + 1, "the cat sat"), (300, " \t"), (301, "the été \U0001f600 the")]
+    whole = {(r["doc_id"], r["n_tokens"]): r for r in lm.op5_lm(make_docs(rows)).collect()}
+    monkeypatch.setattr(lm, "BLOCK_WORDS", 50)       # a few rows a block
+    monkeypatch.setattr(lm, "SEND_BYTES", 100)
+    got = lm.op5_lm(make_docs(rows)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        want = whole[r["doc_id"], r["n_tokens"]]
+        assert (r["held_out"], r["n_known"], r["train_tokens"]) == (want["held_out"], want["n_known"], want["train_tokens"])
+        assert r["base_score"] == pytest.approx(want["base_score"]) and r["score"] == pytest.approx(want["score"])
+
+
+def test_held_out_texts_spread_over_segments_too(make_docs, monkeypatch):
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 500)
+    alone = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
+    docs = make_docs([(alone, f"never seen {i} " * 9) for i in range(100)] + [(None, "the cat"), (None, ""), (alone, None)])
+    got = lm.op5_lm(docs).collect()
+    assert len(got) == 103 and {r["train_tokens"] for r in got} == {4}
+    assert lm.train(docs, ~lm.held_out(docs["doc_id"])).buckets >= 10
